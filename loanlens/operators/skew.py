@@ -1,0 +1,85 @@
+"""Equi-joins that survive a key holding a large part of all rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 1_000_000
+TRACKED = 100_000
+MOST_HOT_KEYS = 10_000
+
+
+def hot_keys(rows: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys too heavy for one task, with the number of pieces each should be cut into.
+
+    A frequent-items sketch finds them in one column-pruned pass without
+    shuffling the keys. The sketch is approximate, which is harmless: it only
+    decides which keys are spread out, never which rows take part in the join.
+    At most ``MOST_HOT_KEYS`` rows come back, so the result may be broadcast.
+    """
+    frequent = rows.agg(F.expr(f"approx_top_k(`{key}`, {MOST_HOT_KEYS}, {TRACKED})").alias("frequent"))
+    return (
+        frequent.select(F.inline("frequent"))
+        .filter(F.col("count") > rows_per_task)
+        .select(
+            F.col("item").alias("hot_key"),
+            F.ceil(F.col("count") / rows_per_task).cast("int").alias("pieces"),
+        )
+    )
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    keys_from: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``left.join(right, key, how)`` for ``inner`` and ``left``, with hot left keys cut into pieces.
+
+    Rows of a hot key carry a piece number; the matching right rows are
+    repeated once per piece, so (key, piece) joins exactly as the key alone
+    would. All other keys keep piece 0 and are shuffled once as usual. Missing
+    keys never match but would still share one task in a left join, so they are
+    spread by the same rule.
+
+    The piece comes from the row and its partition number: stable when a task
+    is retried, and different for identical copies in different partitions.
+
+    ``keys_from`` may name a cheaper table with the same key column to look for
+    hot keys in, when ``left`` is itself the result of a join.
+    """
+    hot = F.broadcast(hot_keys(left if keys_from is None else keys_from, key, rows_per_task))
+
+    def pieces_of(df: DataFrame) -> DataFrame:
+        return df.join(hot, df[key].eqNullSafe(hot["hot_key"]), "left").drop("hot_key")
+
+    piece = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("pieces")).cast("int")
+    spread = pieces_of(left).withColumn("piece", F.when(F.col("pieces").isNull(), 0).otherwise(piece))
+    every_piece = F.when(F.col("pieces").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("pieces") - 1))
+    repeated = pieces_of(right).withColumn("piece", F.explode(every_piece))
+    return spread.drop("pieces").join(repeated.drop("pieces"), [key, "piece"], how).drop("piece")
+
+
+def orphan_count(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """One row ``orphans, rows``: child rows whose key has no parent; a missing key is an orphan.
+
+    Child rows collapse to one row per key before the shuffle, and the anti
+    join reuses that shuffle, so a hot key costs nothing extra.
+    """
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.join(parent.select(key), key, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
+
+
+def duplicate_key_groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``repeated``: how many key combinations occur more than once."""
+    return (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .agg(F.count(F.lit(1)).alias("repeated"))
+    )
