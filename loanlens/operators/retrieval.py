@@ -35,6 +35,10 @@ class Index:
 def chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
     """Overlapping windows of words over each whole text, numbered from 1 per source.
 
+    The outer form of the generator is deliberate, here and in ``postings``:
+    for the inner form the optimizer adds a filter on the size of the array
+    and moves it down to the scan, where it repeats the whole text expression.
+
     A window starts every ``max_words - overlap`` words as long as words are
     left, so a short tail that the window before already covers is kept too.
     """
@@ -44,7 +48,8 @@ def chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVER
     windows = F.transform(starts, lambda start: F.array_join(F.slice("words", start + 1, max_words), " "))
     return (
         documents.select("source", words(F.col("text")).alias("words"))
-        .select("source", F.posexplode(windows).alias("pos", "text"))
+        .select("source", F.posexplode_outer(windows).alias("pos", "text"))
+        .filter("pos IS NOT NULL")
         .select("source", (F.col("pos") + 1).alias("chunk_no"), "text")
     )
 
@@ -75,7 +80,7 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> Dat
     )
     return (
         texts.select(*keys, tokens(F.col("text"), stop_words).alias("tokens"))
-        .select(*keys, F.array_sort(ngrams(F.col("tokens"))).alias("ordered"))
+        .select(*keys, F.sort_array(ngrams(F.col("tokens"))).alias("ordered"))
         .select(*keys, "ordered", starts.alias("starts"))
         .select(*keys, counts.alias("counts"))
     )
@@ -83,7 +88,7 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> Dat
 
 def postings(counted: DataFrame) -> DataFrame:
     keys = [c for c in counted.columns if c != "counts"]
-    return counted.select(*keys, F.inline("counts"))
+    return counted.select(*keys, F.inline_outer("counts")).filter("term IS NOT NULL")
 
 
 def vocabulary(chunk_postings: DataFrame, chunk_table: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
