@@ -7,6 +7,7 @@ The lending tables are derived from the order-entry tables found there; see
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -19,7 +20,8 @@ import oracle  # noqa: E402
 from loanlens.functions.numbers import sum_money  # noqa: E402
 from loanlens.lazy import Lazy  # noqa: E402
 from loanlens.operators import retrieval  # noqa: E402
-from loanlens.plans import analysis, derive, marts, quality, questions  # noqa: E402
+from loanlens.plans import analysis, derive, jobs, marts, quality, questions  # noqa: E402
+from loanlens.session import shared_folder, stored  # noqa: E402
 from loanlens.sources import corpus, tables  # noqa: E402
 from loanlens.sources.star_schema import StarSchema  # noqa: E402
 
@@ -52,9 +54,16 @@ def _hits(spark: SparkSession, folder: str) -> DataFrame:
     return retrieval.retrieve(asked, _index(spark, folder))
 
 
+def _read_often(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The marts and the report that several findings read, each computed once."""
+    gold = _gold(spark, folder)
+    names = ["gold_approval_funnel", "gold_portfolio_summary", "gold_dpd_bucket_analysis"]
+    return {name: stored(gold[name], name) for name in names}, stored(_checks(spark, folder), jobs.REPORT)
+
+
 def _answers(spark: SparkSession, folder: str) -> DataFrame:
     asked = questions.distinct_questions(StarSchema(spark, folder).questions())
-    return questions.answers(asked, _gold(spark, folder), _checks(spark, folder), _hits(spark, folder))
+    return questions.answers(asked, *_read_often(spark, folder), _hits(spark, folder))
 
 
 def _silver(name: str) -> Query:
@@ -103,7 +112,10 @@ def thirty_plus_boundary(enriched: DataFrame) -> DataFrame:
 
 
 def mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return analysis.row_counts(_gold(spark, folder), _checks(spark, folder))
+    star = StarSchema(spark, folder)
+    target = f"{shared_folder(spark)}/gold-{uuid.uuid4().hex}"
+    gold = jobs.build_gold(spark, star.lending, target, star.repayment_loan_ids())
+    return analysis.row_counts(gold, stored(quality.report(star.lending), jobs.REPORT))
 
 
 def adhoc_sql_mart(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +206,7 @@ def evidence_json(spark: SparkSession, folder: str) -> DataFrame:
     asked = questions.distinct_questions(StarSchema(spark, folder).questions())
     index = _index(spark, folder)
     passages = retrieval.with_text(retrieval.retrieve(asked, index), index.chunks)
-    return questions.evidence(asked, _gold(spark, folder), _checks(spark, folder), passages)
+    return questions.evidence(asked, *_read_often(spark, folder), passages)
 
 
 def risk_score_formula(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,9 @@ so a lost executor costs at most the stage that is running.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from loanlens.operators import retrieval
@@ -25,13 +28,15 @@ GOLD = [
 ]
 
 
-def build_silver(spark: SparkSession, raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+def build_silver(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     for name, df in tables.silver(raw).items():
         tables.write_table(df, folder, name)
     return tables.read_tables(spark, folder, list(tables.SCHEMAS))
 
 
-def build_gold(spark: SparkSession, t: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+def build_gold(
+    spark: SparkSession, t: Mapping[str, DataFrame], folder: str, keys_from: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Loan features and enriched repayments are read back before the marts that aggregate them."""
 
     def stored(name: str, df: DataFrame) -> DataFrame:
@@ -39,7 +44,7 @@ def build_gold(spark: SparkSession, t: dict[str, DataFrame], folder: str) -> dic
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")
 
     features = stored("gold_loan_features", marts.loan_features(t))
-    enriched = stored("gold_repayment_enriched", marts.repayment_enriched(t["repayments"], features))
+    enriched = stored("gold_repayment_enriched", marts.repayment_enriched(t["repayments"], features, keys_from))
     return {
         "gold_loan_features": features,
         "gold_repayment_enriched": enriched,
@@ -64,8 +69,6 @@ def read_gold(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a written table can be read there; the file system is the one Spark uses."""
-    from pyspark.errors import AnalysisException
-
     try:
         spark.read.parquet(path)
     except AnalysisException:

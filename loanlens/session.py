@@ -1,10 +1,12 @@
-"""Session settings used by the tests, the benchmark and stand-alone jobs."""
+"""Sessions for tests, benchmark and stand-alone jobs, and tables shared between stages."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -23,6 +25,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="loanlens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, for tables that cut lineage.
 
@@ -34,6 +41,15 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="loanlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back.
+
+    For results with several readers: they are computed once, and a lost
+    executor does not bring back the work behind them.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
