@@ -63,7 +63,8 @@ def _read_often(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame],
 
 def _answers(spark: SparkSession, folder: str) -> DataFrame:
     asked = questions.distinct_questions(StarSchema(spark, folder).questions())
-    return questions.answers(asked, *_read_often(spark, folder), _hits(spark, folder))
+    hits = stored(_hits(spark, folder), "hits")
+    return questions.answers(asked, *_read_often(spark, folder), hits)
 
 
 def _silver(name: str) -> Query:
@@ -142,7 +143,9 @@ def chunk_ngrams(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    return _index(spark, folder).vocabulary.withColumn("idf", F.round("idf", 6))
+    chunk_table = _chunks(spark, folder)
+    found = retrieval.postings(retrieval.term_counts(chunk_table))
+    return retrieval.vocabulary(found, chunk_table).withColumn("idf", F.round("idf", 6))
 
 
 def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanlens.functions.text import STOP_WORDS, ngrams, tokens, words
+from loanlens.session import stored
 
 MAX_WORDS = 120
 OVERLAP = 25
@@ -123,9 +124,10 @@ def normalized(found: DataFrame, vocab: DataFrame, keys: list[str], name: str) -
 def tfidf_index(
     documents: DataFrame, max_features: int = MAX_FEATURES, stop_words: Sequence[str] = STOP_WORDS
 ) -> Index:
+    """The index of a corpus. Only the capped vocabulary, which has several readers, is written."""
     chunk_table = chunks(documents)
     found = postings(term_counts(chunk_table, stop_words))
-    vocab = vocabulary(found, chunk_table, max_features)
+    vocab = stored(vocabulary(found, chunk_table, max_features), "vocabulary")
     return Index(chunk_table, vocab, normalized(found, vocab, ["source", "chunk_no"], "weight"))
 
 
@@ -216,7 +218,8 @@ def retrieve(questions: DataFrame, index: Index, k: int = TOP_K) -> DataFrame:
 
 
 def with_text(hits: DataFrame, chunk_table: DataFrame) -> DataFrame:
-    """Add the passages. The hits pick out their sources before anything is shuffled."""
+    """Add the passages. The hits, ``k`` per question, pick out their sources before texts are shuffled."""
+    hits = stored(hits, "hits")
     wanted = chunk_table.join(hits.select("source").distinct(), "source", "left_semi")
     return hits.join(wanted, ["source", "chunk_no"])
 

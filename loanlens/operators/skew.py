@@ -35,6 +35,7 @@ def skew_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
+    spread_by: Sequence[str],
     how: str = "inner",
     keys_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
@@ -47,8 +48,10 @@ def skew_join(
     keys never match but would still share one task in a left join, so they are
     spread by the same rule.
 
-    The piece comes from the row and its partition number: stable when a task
-    is retried, and different for identical copies in different partitions.
+    The piece comes from ``spread_by``, a few columns that vary within a key and
+    are read anyway, and the partition number. It is stable when a task is
+    retried, and identical copies in different partitions still get different
+    pieces.
 
     ``keys_from`` may name a cheaper table with the same key column to look for
     hot keys in, when ``left`` is itself the result of a join.
@@ -58,7 +61,7 @@ def skew_join(
     def pieces_of(df: DataFrame) -> DataFrame:
         return df.join(hot, df[key].eqNullSafe(hot["hot_key"]), "left").drop("hot_key")
 
-    piece = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("pieces")).cast("int")
+    piece = F.pmod(F.xxhash64(*spread_by) + F.spark_partition_id(), F.col("pieces")).cast("int")
     spread = pieces_of(left).withColumn("piece", F.when(F.col("pieces").isNull(), 0).otherwise(piece))
     every_piece = F.when(F.col("pieces").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("pieces") - 1))
     repeated = pieces_of(right).withColumn("piece", F.explode(every_piece))

@@ -36,7 +36,7 @@ def _applicants(t: Tables) -> DataFrame:
     people = (
         t["customers"].select("customer_id", "employment_type").join(t["bureau_features"].drop("active_loans"), "customer_id", "left")
     )
-    return skew_join(applications, people, "customer_id")
+    return skew_join(applications, people, "customer_id", ["app_id"])
 
 
 def risk_scores(t: Tables, incident_month: Column) -> DataFrame:

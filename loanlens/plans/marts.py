@@ -28,8 +28,8 @@ def loan_features(t: Tables) -> DataFrame:
         .select("customer_id", "state", "city", "employment_type", "credit_segment")
         .join(t["bureau_features"], "customer_id", "left")
     )
-    sourced = skew_join(loans, applications, "app_id")
-    return skew_join(sourced, profile, "customer_id", keys_from=loans).select(
+    sourced = skew_join(loans, applications, "app_id", ["loan_id"])
+    return skew_join(sourced, profile, "customer_id", ["loan_id"], keys_from=loans).select(
         "loan_id",
         "app_id",
         "customer_id",
@@ -69,7 +69,7 @@ def repayment_enriched(repayments: DataFrame, features: DataFrame, keys_from: Da
         "risk_band",
     )
     return (
-        skew_join(repayments, loans, "loan_id", "left", keys_from=keys_from)
+        skew_join(repayments, loans, "loan_id", ["due_date", "dpd"], "left", keys_from=keys_from)
         .withColumn("dpd_bucket", dpd_bucket(F.col("dpd")))
         .withColumn("is_30_plus_dpd", is_30_plus(F.col("dpd")))
     )
@@ -88,7 +88,7 @@ def approval_funnel(t: Tables) -> DataFrame:
     applicants = t["customers"].select("customer_id", "employment_type", "credit_segment")
     approved = F.sum("approved")
     return (
-        skew_join(applications, applicants, "customer_id", "left")
+        skew_join(applications, applicants, "customer_id", ["application_month", "risk_score"], "left")
         .groupBy("application_month", "product", "channel", "employment_type", "credit_segment")
         .agg(
             F.count(F.lit(1)).alias("applications"),

@@ -87,9 +87,9 @@ def _null_rates(t: Tables) -> DataFrame:
 def _primary_key_duplicates(t: Tables) -> DataFrame:
     """Rows beyond the first of each key; rows without a key count as duplicates."""
     parts = [
-        t[table].selectExpr(f"'{table}' AS checked", f"'{key}' AS key", f"{key} AS value")
-        .groupBy("checked", "key")
-        .agg(F.expr("COUNT(*) - COUNT(DISTINCT value)").alias("extra"))
+        t[table]
+        .agg(F.expr(f"COUNT(*) - COUNT(DISTINCT {key})").alias("extra"))
+        .selectExpr(f"'{table}' AS checked", f"'{key}' AS key", "extra")
         for table, key in PRIMARY_KEYS.items()
     ]
     return _measured(

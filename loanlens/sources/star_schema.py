@@ -168,7 +168,7 @@ def repayments(table, loans: DataFrame) -> DataFrame:
         "CAST(l_shipdate AS DATE) AS ship_day",
     )
     return (
-        skew_join(lines, loans.select("o_orderkey", "loan_id", "order_day", "disbursed_date"), "o_orderkey")
+        skew_join(lines, loans.select("o_orderkey", "loan_id", "order_day", "disbursed_date"), "o_orderkey", ["ship_day"])
         .selectExpr(
             "*",
             "GREATEST(DATEDIFF(ship_day, order_day), 0) % 121 AS dpd",
