@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Fixed values. White space is listed by code point because the shorthand
 # classes of regular-expression engines disagree on everything beyond ASCII.
-WORD = r"([^\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+)"
+SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 TOKEN = r"([\p{L}\p{N}_]{2,})"
 
 # English function words that are left out before n-grams are
@@ -25,7 +25,7 @@ own same so than too very can will just don should now cannot could ought would
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
+    return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
 def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:

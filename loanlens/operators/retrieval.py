@@ -42,14 +42,21 @@ def chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVER
 
     A window starts every ``max_words - overlap`` words as long as words are
     left, so a short tail that the window before already covers is kept too.
+
+    Words are picked by position: slicing would copy the array of a long text
+    for each of its windows.
     """
     step = max_words - overlap
-    n = F.size("words")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    windows = F.transform(starts, lambda start: F.array_join(F.slice("words", start + 1, max_words), " "))
+    last = F.size("words") - 1
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
+
+    def window(start: Column) -> Column:
+        positions = F.sequence(start, F.least(start + (max_words - 1), last))
+        return F.array_join(F.transform(positions, lambda i: F.get("words", i)), " ")
+
     return (
         documents.select("source", words(F.col("text")).alias("words"))
-        .select("source", F.posexplode_outer(windows).alias("pos", "text"))
+        .select("source", F.posexplode_outer(F.transform(starts, window)).alias("pos", "text"))
         .filter("pos IS NOT NULL")
         .select("source", (F.col("pos") + 1).alias("chunk_no"), "text")
     )
