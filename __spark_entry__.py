@@ -6,6 +6,7 @@ The lending tables are derived from the order-entry tables found there; see
 
 from __future__ import annotations
 
+import importlib
 import sys
 import uuid
 from collections.abc import Callable
@@ -221,7 +222,35 @@ def disburse_approved(spark: SparkSession, folder: str) -> DataFrame:
     return derive.disburse_approved(_tables(spark, folder)["loan_applications"], lag)
 
 
+def _if_there(name: str):
+    """The module, or None where the training-data subpackage has been taken out."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name is None or not name.startswith(missing.name):
+            raise
+        return None
+
+
+_training = _if_there("loanlens.llm.queries")
+_pipeline = _if_there("corpus_pipeline")
+
+
+def _training_queries() -> dict[str, Query]:
+    found = dict(_training.QUERIES) if _training else {}
+    return found | ({"pipeline": _pipeline.run} if _pipeline else {})
+
+
+def _training_sql() -> dict[str, str]:
+    found = dict(_training.ORACLES) if _training else {}
+    return found | ({"pipeline": _pipeline.ORACLE_SQL} if _pipeline and _pipeline.ORACLE_SQL else {})
+
+
 def queries() -> dict[str, Query]:
+    return _lending_queries() | _training_queries()
+
+
+def _lending_queries() -> dict[str, Query]:
     return {
         "silver_customers": _silver("customers"),
         "silver_bureau": _silver("bureau_features"),
@@ -289,7 +318,8 @@ NOT_IN_SQL = {"evidence_json"}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracle.sql(name) for name in queries() if name not in NOT_IN_SQL}
+    lending = {name: oracle.sql(name) for name in _lending_queries() if name not in NOT_IN_SQL}
+    return lending | _training_sql()
 
 
 def entry(spark: SparkSession) -> DataFrame:
