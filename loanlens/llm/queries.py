@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import mixing, sharding, simhash
+from loanlens.llm import mixing, packing, pii, quality, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The key of the demonstration; a real one comes from a secret store.
+KEY = "demonstration"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -29,6 +39,27 @@ def op1_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    changed = pii.pseudonymized(docs.withColumn("before", F.col("text")), KEY)
+    return changed.select("doc_id", "text", (~F.col("text").eqNullSafe(F.col("before"))).alias("changed"))
+
+
+def op7_random_indexing_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, _read(spark, folder, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op8_complement_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_read(spark, folder, "documents"), tokenizer_path())
+
+
 def op9_simhash_balls(spark: SparkSession, folder: str) -> DataFrame:
     classes = simhash.with_classes(_read(spark, folder, "documents"))
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -42,6 +73,9 @@ def op10_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_interleaved_shards": op1_interleaved_shards,
+    "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
+    "op7_random_indexing_quality": op7_random_indexing_quality,
+    "op8_complement_packing": op8_complement_packing,
     "op9_simhash_balls": op9_simhash_balls,
     "op10_pareto_mix": op10_pareto_mix,
 }
