@@ -8,6 +8,7 @@ hashed to a fixed number of slots, so the table of vectors has the same size for
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -59,7 +60,7 @@ class Slots:
             self.known.clear()
         for word in set(words):
             if word not in self.known:
-                self.known[word] = np.array([self._of(t) for t in TOKEN.findall(word)], dtype=np.int32).tobytes()
+                self.known[word] = array("i", map(self._of, TOKEN.findall(word))).tobytes()
         return np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.int32)
 
 
@@ -73,7 +74,9 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, signs = index_vectors()
-    sums, slots = np.zeros(SLOTS * DIMENSIONS), Slots()
+    # one slot more stands between documents; it gives its neighbours nothing
+    places, signs = np.vstack([places, 0 * places[:1]]), np.vstack([signs, 0 * signs[:1]])
+    sums, slots, gap = np.zeros((SLOTS + 1) * DIMENSIONS), Slots(), np.full(WINDOW, SLOTS, np.int32)
 
     def add(found: np.ndarray) -> None:
         start = found * DIMENSIONS
@@ -87,16 +90,14 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         waiting, held = [], 0
         for text in batch.column(0):
             found = slots(text.as_py())
-            # the last words of a document count as neighbours of the next one's first, which is
-            # noise of a few words in a document; rows come in the order of the files
-            waiting.append(found)
+            waiting += [found, gap]
             held += len(found)
             if held >= TOKENS_AT_ONCE:
                 add(np.concatenate(waiting))
                 waiting, held = [], 0
         if held:
             add(np.concatenate(waiting))
-    table = sums.astype(np.int64).reshape(-1, SLOTS_PER_ROW * DIMENSIONS)
+    table = sums[: SLOTS * DIMENSIONS].astype(np.int64).reshape(-1, SLOTS_PER_ROW * DIMENSIONS)
     used = np.flatnonzero(table.any(axis=1))
     yield pa.RecordBatch.from_arrays(
         [pa.array(used.astype(np.int32)), pa.array([table[u].tobytes() for u in used], pa.binary())], names=["part", "sums"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import mixing, packing, pii, quality, sharding, simhash
+from loanlens.llm import embeddings, mixing, packing, pii, quality, search, sharding, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,26 @@ def op1_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_kmeans_cells(spark: SparkSession, folder: str) -> DataFrame:
+    found = embeddings.near_duplicates(_read(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+def op3_segmented_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(_read(spark, folder, "pages"))
+
+
+def op4_indexed_warc(spark: SparkSession, folder: str) -> DataFrame:
+    target = warc.new_folder(spark)
+    index = warc.write_archives(_read(spark, folder, "pages"), target)
+    return warc.read_records(index, target)
+
+
+def op5_block_max_wand(spark: SparkSession, folder: str) -> DataFrame:
+    asked = _read(spark, folder, "benchmark").where("item_id % 50 = 0")
+    return search.search(search.build_index(_read(spark, folder, "documents")), asked, "item_id")
+
+
 def op6_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     changed = pii.pseudonymized(docs.withColumn("before", F.col("text")), KEY)
@@ -73,6 +93,10 @@ def op10_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_interleaved_shards": op1_interleaved_shards,
+    "op2_kmeans_cells": op2_kmeans_cells,
+    "op3_segmented_hosts": op3_segmented_hosts,
+    "op4_indexed_warc": op4_indexed_warc,
+    "op5_block_max_wand": op5_block_max_wand,
     "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
     "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_complement_packing": op8_complement_packing,
@@ -80,4 +104,26 @@ QUERIES: dict[str, Query] = {
     "op10_pareto_mix": op10_pareto_mix,
 }
 
-ORACLES: dict[str, str] = {}
+# Runs of letters A-Z (lowered), digits and characters beyond ASCII are terms.
+_BM25 = r"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark WHERE item_id % 50 = 0) GROUP BY ALL),
+size AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM tokens) / (SELECT count(*) FROM documents) AS mean),
+lengths AS (SELECT doc_id, count(*) AS len FROM tokens GROUP BY doc_id),
+freqs AS (SELECT doc_id, term, count(*) AS tf FROM tokens SEMI JOIN asked USING (term) GROUP BY ALL),
+idfs AS (SELECT term, ln(1 + ((SELECT n FROM size) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM freqs GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, round(sum(times * idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / (SELECT mean FROM size)))), 6) AS score
+  FROM asked JOIN freqs USING (term) JOIN idfs USING (term) JOIN lengths USING (doc_id) GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores)
+WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op5_block_max_wand": _BM25}
