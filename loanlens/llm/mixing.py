@@ -148,9 +148,14 @@ def _prefix(state: DataFrame, ids: list[Column]) -> DataFrame:
 
 
 def mixed(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken. Columns as in ``docs``."""
-    inside = carried(docs).select(F.col(ROW).alias("document"), F.col(f"{ROW}.`{text_column}`").alias("text"),
-                                  F.col(f"{ROW}.source").alias("source"), F.col(f"{ROW}.doc_id").alias("doc_id"))
-    taken = sample_copies(inside.withColumn("n", words(F.col("text"))).drop("text"), F.col("n"), **options)
-    repeated = taken.where("copies > 0").select("document", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
-    return repeated.select(*[F.col(f"document.`{c}`").alias(c) for c in docs.columns])
+    """The mix itself: rows of ``docs``, each as often as it is taken. Columns as in ``docs``.
+
+    The rows are written once with a number each; only numbers, ids, sources and sizes go through
+    the sampling, and the texts join what was taken.
+    """
+    numbered = stored(carried(docs).withColumn("row_number", F.monotonically_increasing_id()), "numbered")
+    row = lambda name: F.col(f"{ROW}.`{name}`")
+    narrow = numbered.select("row_number", row("doc_id").alias("doc_id"), row("source").alias("source"), words(row(text_column)).alias("n"))
+    taken = sample_copies(narrow, F.col("n"), **options).where("copies > 0").select("row_number", "copies")
+    repeated = numbered.join(taken, "row_number").select(ROW, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    return unpacked(repeated, docs.columns)

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.llm.common import ROW, carried
+
 ROUNDS = 10
 
 # The written forms that are looked for. A match that fails its validation stays.
@@ -214,8 +216,8 @@ def pseudonymized(docs: DataFrame, key: str, text_column: str = "text") -> DataF
     be undone; keep it out of shared plans.
     """
     names = Pseudonyms(key)
-    text = F.col(f"`{text_column}`")
+    text = F.col(f"{ROW}.`{text_column}`")
     # the matches are found once; a text without any is passed on as it is
-    matched = docs.withColumn("pii_matches", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    changed = F.when(F.size("pii_matches") > 0, _replaced(text, F.col("pii_matches"), names.any)).otherwise(text)
-    return matched.withColumn(text_column, changed).drop("pii_matches").select(*[F.col(f"`{c}`") for c in docs.columns])
+    matched = carried(docs).withColumn("found", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    changed = F.when(F.size("found") > 0, _replaced(text, F.col("found"), names.any)).otherwise(text)
+    return matched.select(*[changed.alias(c) if c == text_column else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])

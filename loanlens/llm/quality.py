@@ -252,7 +252,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> Model:
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([row.tobytes() for row in Model(vectors.value, None).features(texts)], dtype=object)
 
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "quality", features("text").alias("x")).collect()
+    # at most ``sample`` ids are broadcast, so texts stay where they are
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", features("text").alias("x")).collect()
     rows.sort(key=lambda r: (crc32(str(r["doc_id"]).encode()), bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], dtype=np.float64).reshape(-1, FEATURES)
     y = np.array([float(r["quality"] > 0) for r in rows])
