@@ -80,11 +80,6 @@ def base_risk_score(bureau: Column, delinquencies: Column, enquiries: Column, ut
     )
 
 
-def incident_penalty(month: Column, channel: Column, employment: Column, incident_month: Column) -> Column:
-    hit = (month == incident_month) & (channel == "Partner") & employment.isin("Self-employed", "Small business")
-    return F.when(hit, 70.0).otherwise(0.0)
-
-
 def clipped_score(score: Column) -> Column:
     """Kept within 50..700, one decimal, ties to even. A missing score stays missing."""
     bounded = F.when(score < 50.0, 50.0).when(score > 700.0, 700.0).otherwise(score)

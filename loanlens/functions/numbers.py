@@ -1,9 +1,9 @@
-"""Rounding and exact aggregation.
+"""Rounding and sums that do not depend on order.
 
 Double sums depend on the order in which tasks finish, and a mean that sits on
 a rounding tie then flips between runs. The aggregates below therefore add
-whole hundredths (money) or ten-thousandths (scores) as integers, which is
-exact, independent of order and stays inside generated code.
+decimals of eight places, which is exact for them, and only the result is
+rounded.
 """
 
 from __future__ import annotations
@@ -43,14 +43,18 @@ def round_half_even_exact(x: str, digits: int) -> Column:
     )
 
 
+#: Twenty digits before the point and eight after it.
+WIDE = "decimal(28,8)"
+
+
 def sum_money(x: Column) -> Column:
-    """Exact sum of amounts that have at most two decimals."""
-    return F.sum(F.rint(x * 100.0).cast("long")) / F.lit(100.0)
+    """Sum of amounts, in any order of rows; each counts with eight decimals."""
+    return F.sum(x.cast(WIDE)).cast("double")
 
 
 def avg_score(x: Column) -> Column:
-    """Exact mean of values that have at most four decimals; NULLs are left out."""
-    return F.sum(F.rint(x * 10000.0).cast("long")) / F.lit(10000.0) / F.nullif(F.count(x), F.lit(0))
+    """Mean of values with eight decimals; NULLs are left out."""
+    return sum_money(x) / F.nullif(F.count(x), F.lit(0))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -1,36 +1,33 @@
 """TF-IDF retrieval over chunked text, for many questions at once.
 
-A corpus becomes three tables. ``chunks`` holds the passages, ``vocabulary``
-the capped term list with inverse document frequencies, and ``weights`` one
-row per (chunk, term) with the normalized weight.
+A corpus becomes four tables. ``chunks`` holds the passages, ``vocabulary``
+every term with its inverse document frequency, ``weights`` one row per term
+and chunk, laid out by term, and ``norms`` the length of each chunk's vector.
+Weights are divided by the norms where scores are made, so that they move once.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanlens.functions.text import STOP_WORDS, ngrams, tokens, words
-from loanlens.session import stored
 
 MAX_WORDS = 120
 OVERLAP = 25
-MAX_FEATURES = 5000
 TOP_K = 3
-TERMS_PER_BROADCAST = 1_000_000
 
 
 @dataclass(frozen=True)
 class Index:
     chunks: DataFrame  # source, chunk_no, text
     vocabulary: DataFrame  # term, corpus_count, df, idf
-    weights: DataFrame  # source, chunk_no, term, weight
+    weights: DataFrame  # source, chunk_no, term, raw
+    norms: DataFrame  # source, chunk_no, length
 
 
 def chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
@@ -99,85 +96,100 @@ def postings(counted: DataFrame) -> DataFrame:
     return counted.select(*keys, F.inline_outer("counts")).filter("term IS NOT NULL")
 
 
-def vocabulary(chunk_postings: DataFrame, chunk_table: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The terms with the highest total count, ties in alphabetical order.
+def vocabulary(chunk_postings: DataFrame, chunk_table: DataFrame, max_features: int | None = None) -> DataFrame:
+    """Every term, or the ``max_features`` with the highest total count, ties in alphabetical order.
 
     Counts are added up per task before the shuffle, so a frequent term is not
     a hot key.
     """
     n_chunks = chunk_table.agg(F.count(F.lit(1))).scalar()
-    return (
-        chunk_postings.groupBy("term")
-        .agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("corpus_count"), "term")
-        .limit(max_features)
-        .withColumn("idf", F.log((n_chunks + 1.0) / (F.col("df") + 1.0)) + 1.0)
-    )
+    counted = chunk_postings.groupBy("term").agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("df"))
+    if max_features is not None:
+        counted = counted.orderBy(F.desc("corpus_count"), "term").limit(max_features)
+    return counted.withColumn("idf", F.log((n_chunks + 1.0) / (F.col("df") + 1.0)) + 1.0)
 
 
-def normalized(found: DataFrame, vocab: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Term frequency times idf, scaled to unit length per ``keys``; terms outside the vocabulary drop out.
+def weighted(found: DataFrame, vocab: DataFrame, keys: list[str]) -> DataFrame:
+    """Term frequency times idf; terms outside the vocabulary drop out.
 
-    The vocabulary is capped, so it is broadcast. A key has at most the terms
-    of one text.
+    The vocabulary grows with the corpus, so it is joined and not broadcast;
+    the postings of a frequent term are split by adaptive joins.
     """
-    weighted = found.join(F.broadcast(vocab.select("term", "idf")), "term").select(
-        *keys, "term", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(*keys)))
-    return weighted.select(*keys, "term", (F.col("raw") / length).alias(name))
+    return found.join(vocab.select("term", "idf"), "term").select(*keys, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+
+
+def lengths(raw: DataFrame, keys: list[str]) -> DataFrame:
+    """Vector lengths. Squares are added up per task, and one row per key and task is shuffled."""
+    return raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
+
+
+CHUNK = ["source", "chunk_no"]
 
 
 def tfidf_index(
-    documents: DataFrame, max_features: int = MAX_FEATURES, stop_words: Sequence[str] = STOP_WORDS
+    documents: DataFrame, max_features: int | None = None, stop_words: Sequence[str] = STOP_WORDS
 ) -> Index:
-    """The index of a corpus. Only the capped vocabulary, which has several readers, is written."""
+    """The index of a corpus, described and not yet made. Term counts are kept once made, for all three tables."""
     chunk_table = chunks(documents)
-    found = postings(term_counts(chunk_table, stop_words))
-    vocab = stored(vocabulary(found, chunk_table, max_features), "vocabulary")
-    return Index(chunk_table, vocab, normalized(found, vocab, ["source", "chunk_no"], "weight"))
+    found = postings(term_counts(chunk_table, stop_words).persist())
+    vocab = vocabulary(found, chunk_table, max_features)
+    raw = weighted(found, vocab, CHUNK)
+    return Index(chunk_table, vocab, raw, lengths(raw, CHUNK))
 
 
-def write_index(documents: DataFrame, folder: str, max_features: int = MAX_FEATURES) -> Index:
-    """Write the three tables; each later one is derived from those already on disk."""
+def normalized(index: Index) -> DataFrame:
+    """The weights in unit length: ``source, chunk_no, term, weight``."""
+    return index.weights.join(index.norms, CHUNK).select(*CHUNK, "term", (F.col("raw") / F.col("length")).alias("weight"))
+
+
+def write_index(documents: DataFrame, folder: str, max_features: int | None = None) -> Index:
+    """Write the tables; each later one is derived from those already on disk, and texts are read once.
+
+    Weights are sorted by term, so that the statistics of their files tell a
+    reader which of them hold the terms of a question.
+    """
     spark = documents.sparkSession
-    chunks(documents).write.mode("overwrite").parquet(f"{folder}/chunks.parquet")
-    chunk_table = spark.read.parquet(f"{folder}/chunks.parquet")
-    term_counts(chunk_table).write.mode("overwrite").parquet(f"{folder}/term_counts.parquet")
-    found = postings(spark.read.parquet(f"{folder}/term_counts.parquet"))
-    vocabulary(found, chunk_table, max_features).write.mode("overwrite").parquet(f"{folder}/vocabulary.parquet")
-    vocab = spark.read.parquet(f"{folder}/vocabulary.parquet")
-    normalized(found, vocab, ["source", "chunk_no"], "weight").write.mode("overwrite").parquet(f"{folder}/weights.parquet")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")
+
+    chunk_table = written(chunks(documents), "chunks")
+    found = postings(written(term_counts(chunk_table), "term_counts"))
+    vocab = written(vocabulary(found, chunk_table, max_features), "vocabulary")
+    by_term = weighted(found, vocab, CHUNK).repartitionByRange("term", *CHUNK).sortWithinPartitions("term")
+    raw = written(by_term, "weights")
+    written(lengths(raw, CHUNK), "norms")
     return read_index(spark, folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> Index:
-    chunk_table, vocab, weights = [
-        spark.read.parquet(f"{folder}/{name}.parquet") for name in ("chunks", "vocabulary", "weights")
-    ]
-    return Index(chunk_table, vocab, weights.repartition("source", "chunk_no"))
+    return Index(*[spark.read.parquet(f"{folder}/{name}.parquet") for name in ("chunks", "vocabulary", "weights", "norms")])
 
 
 def question_weights(questions: DataFrame, vocab: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """Questions in the space of the corpus: same vocabulary, same idf, unit length."""
     counted = term_counts(questions.select("question_id", F.col("question").alias("text")), stop_words)
-    return normalized(postings(counted), vocab, ["question_id"], "question_weight")
+    raw = weighted(postings(counted), vocab, ["question_id"])
+    # a question has at most the terms of one text
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("question_id")))
+    return raw.select("question_id", "term", (F.col("raw") / length).alias("question_weight"))
 
 
-def cosine(asked: DataFrame, weights: DataFrame) -> DataFrame:
+def cosine(asked: DataFrame, index: Index) -> DataFrame:
     """Score of every chunk that shares a term with a question: ``source, chunk_no, question_id, score``.
 
-    ``asked`` is broadcast, so callers bound it. The weights arrive hashed by
-    chunk, because their normalization needed that or because ``read_index``
-    did it; a chunk's products then meet in its own task and are added up
-    before anything moves.
-    The score is kept to nine decimals, well above rounding noise, so equal
-    passages compare as equal.
+    Postings of other terms are left where they are. Products are added up per
+    task before they are shuffled by chunk and question. The score is kept to
+    nine decimals, well above rounding noise, so equal passages compare as equal.
     """
-    return (
-        weights.join(F.broadcast(asked), "term")
-        .groupBy("source", "chunk_no", "question_id")
-        .agg(F.round(F.sum(F.col("weight") * F.col("question_weight")), 9).alias("score"))
+    products = (
+        index.weights.join(asked, "term")
+        .groupBy(*CHUNK, "question_id")
+        .agg(F.sum(F.col("raw") * F.col("question_weight")).alias("product"))
+    )
+    return products.join(index.norms, CHUNK).select(
+        *CHUNK, "question_id", F.round(F.col("product") / F.col("length"), 9).alias("score")
     )
 
 
@@ -190,45 +202,38 @@ def best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _retrieve(questions: DataFrame, index: Index, k: int) -> DataFrame:
-    scored = best(cosine(question_weights(questions, index.vocabulary), index.weights), k)
+def retrieve(questions: DataFrame, index: Index, k: int = TOP_K) -> DataFrame:
+    """The ``k`` best passages per question: ``question_id, rank, source, chunk_no, score``.
+
+    ``questions`` has distinct ``question_id, question``, any number of them.
+    """
+    scored = best(cosine(question_weights(questions, index.vocabulary), index), k)
     # A question that meets fewer than k chunks is filled up with chunks of
     # score 0, the last ones first. Of the last k chunks at most as many as it
     # did meet can be taken already.
-    last = index.chunks.select("source", "chunk_no").orderBy(F.desc("source"), F.desc("chunk_no")).limit(k)
+    last = index.chunks.select(*CHUNK).orderBy(F.desc("source"), F.desc("chunk_no")).limit(k)
     fillers = questions.select(
-        "question_id", F.inline(last.agg(F.collect_list(F.struct("source", "chunk_no"))).scalar())
+        "question_id", F.inline(last.agg(F.collect_list(F.struct(*CHUNK))).scalar())
     ).withColumn("score", F.lit(0.0))
     candidates = (
-        scored.select("question_id", "source", "chunk_no", "score")
+        scored.select("question_id", *CHUNK, "score")
         .unionByName(fillers)
-        .groupBy("question_id", "source", "chunk_no")
+        .groupBy("question_id", *CHUNK)
         .agg(F.max("score").alias("score"))
     )
     return best(candidates, k).withColumn("score", F.round("score", 4))
 
 
-def retrieve(questions: DataFrame, index: Index, k: int = TOP_K) -> DataFrame:
-    """The ``k`` best passages per question: ``question_id, rank, source, chunk_no, score``.
+def with_text(hits: DataFrame, chunk_table: DataFrame) -> DataFrame:
+    """Add the passages. Each passage that is hit moves once, however many questions hit it.
 
-    ``questions`` has distinct ``question_id, question``. The terms of all
-    questions are counted first; what is too much for one broadcast is answered
-    in several parts, which needs an index that was written to disk.
+    The hits, ``k`` per question, pick out their sources before texts are
+    shuffled. Questions without matches all hit the same last chunks; adaptive
+    joins split those.
     """
-    counted = term_counts(questions.select("question_id", F.col("question").alias("text")))
-    n_terms = counted.agg(F.coalesce(F.sum(F.size("counts")), F.lit(0))).first()[0]
-    parts = max(1, math.ceil(n_terms / TERMS_PER_BROADCAST))
-    if parts == 1:
-        return _retrieve(questions, index, k)
-    part = F.pmod(F.xxhash64("question_id"), F.lit(parts))
-    return reduce(DataFrame.unionByName, [_retrieve(questions.filter(part == i), index, k) for i in range(parts)])
-
-
-def with_text(hits: DataFrame, chunk_table: DataFrame) -> DataFrame:
-    """Add the passages. The hits, ``k`` per question, pick out their sources before texts are shuffled."""
-    hits = stored(hits, "hits")
+    hits = hits.persist()
     wanted = chunk_table.join(hits.select("source").distinct(), "source", "left_semi")
-    return hits.join(wanted, ["source", "chunk_no"])
+    return hits.join(wanted, CHUNK)
 
 
 def citations(hits: DataFrame) -> DataFrame:

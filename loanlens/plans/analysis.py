@@ -5,6 +5,7 @@ Ties under a limit are settled by the group keys, so a rerun returns the same ro
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from functools import reduce
 
@@ -114,7 +115,12 @@ def row_counts(marts: Tables, checks: DataFrame) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str, marts: Tables) -> DataFrame:
-    """Any SQL text, with every mart visible under its own name."""
-    for name, df in marts.items():
+    """Any SQL text, with every mart that it names visible under its own name."""
+    named = {name: marts[name] for name in marts if re.search(rf"\b{name}\b", text)}
+    for name, df in named.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    try:
+        return spark.sql(text)
+    finally:
+        for name in named:
+            spark.catalog.dropTempView(name)

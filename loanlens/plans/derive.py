@@ -10,18 +10,14 @@ from pyspark.sql import functions as F
 from loanlens.functions.lending import (
     base_risk_score,
     clipped_score,
-    incident_penalty,
     income_segment,
     is_approved,
     month_of,
     rejection_reason,
 )
 from loanlens.functions.numbers import round_half_even_exact
-from loanlens.operators.skew import skew_join
 
 Tables = Mapping[str, DataFrame]
-MOST_INSTALMENTS = 8
-MOST_CALLS = 1800
 
 
 def customer_segments(customers: DataFrame) -> DataFrame:
@@ -36,26 +32,21 @@ def _applicants(t: Tables) -> DataFrame:
     people = (
         t["customers"].select("customer_id", "employment_type").join(t["bureau_features"].drop("active_loans"), "customer_id", "left")
     )
-    return skew_join(applications, people, "customer_id", ["app_id"])
+    return applications.join(people, "customer_id", "left")
 
 
-def risk_scores(t: Tables, incident_month: Column) -> DataFrame:
-    """The score rule, with the penalty of one month's tightened policy."""
+def risk_scores(t: Tables) -> DataFrame:
+    """The score rule. Applications without a customer or a bureau score have none."""
     base = base_risk_score(
         F.col("bureau_score"), F.col("delinq_12m"), F.col("enquiries_3m"), F.col("credit_utilization"), F.col("employment_type")
     )
-    penalty = incident_penalty(
-        month_of(F.col("application_date")), F.col("channel"), F.col("employment_type"), incident_month
-    )
-    return (
-        _applicants(t)
-        .select("app_id", base.alias("base_score"), penalty.alias("penalty"))
-        .withColumn("derived_risk_score", clipped_score(F.col("base_score") + F.col("penalty")))
+    return _applicants(t).select("app_id", base.alias("base_score")).withColumn(
+        "derived_risk_score", clipped_score(F.col("base_score"))
     )
 
 
 def rejection_reasons(t: Tables) -> DataFrame:
-    """First rule that applies; empty for approved applications."""
+    """First rule that applies; empty for approved applications. A missing value meets no rule."""
     reason = rejection_reason(F.col("bureau_score"), F.col("delinq_12m"), F.col("enquiries_3m"), F.col("risk_score"))
     approved = is_approved(F.col("approval_status")) == 1
     return _applicants(t).select("app_id", "approval_status", F.when(approved, "").otherwise(reason).alias("derived_reason"))
@@ -79,13 +70,17 @@ def disburse_approved(applications: DataFrame, lag_days: Column) -> DataFrame:
     )
 
 
-def repayment_schedule(disbursements: DataFrame) -> DataFrame:
-    """Monthly instalments, due on the first of the month from the month after payout, at most eight."""
+def repayment_schedule(disbursements: DataFrame, until: Column | None = None) -> DataFrame:
+    """Every monthly instalment, due on the first of the month from the month after payout.
+
+    A loan without a tenure has one row without a month, so that it shows.
+    ``until`` leaves out what is due later.
+    """
     amount = F.col("principal") / F.col("tenure_months") * (1.0 + F.col("interest_rate") / 1200.0)
-    return (
-        disbursements.filter("tenure_months >= 1")
-        .withColumn("amount", amount)
-        .withColumn("mob", F.explode(F.sequence(F.lit(1), F.least("tenure_months", F.lit(MOST_INSTALMENTS)))))
+    months = F.when(F.col("tenure_months") >= 1, F.sequence(F.lit(1), "tenure_months"))
+    plan = (
+        disbursements.withColumn("amount", F.when(F.col("tenure_months") >= 1, amount))
+        .withColumn("mob", F.explode_outer(months))
         .select(
             "loan_id",
             F.add_months(month_of(F.col("disbursed_date")), F.col("mob")).alias("due_date"),
@@ -93,14 +88,10 @@ def repayment_schedule(disbursements: DataFrame) -> DataFrame:
             round_half_even_exact("amount", 2).alias("due_amount"),
         )
     )
+    return plan if until is None else plan.filter(F.col("due_date").isNull() | (F.col("due_date") <= until))
 
 
-def overdue_call_list(repayments: DataFrame, limit: int = MOST_CALLS, seed: str = "11") -> DataFrame:
-    """A simple random sample of overdue instalments to call about.
-
-    The order of a keyed digest makes the draw repeatable; only ``limit`` rows
-    per task and in the end are kept.
-    """
+def overdue_call_list(repayments: DataFrame) -> DataFrame:
+    """Every overdue instalment, the longest overdue first."""
     parts = ["loan_id", "due_date", "mob", "due_amount", "dpd"]
-    drawn = F.md5(F.concat_ws("|", F.lit(seed), "loan_id", F.col("due_date").cast("string"), "mob", "dpd"))
-    return repayments.filter("dpd > 0").select(*parts).orderBy(drawn, *parts).limit(limit)
+    return repayments.filter("dpd > 0").select(*parts).orderBy(F.desc("dpd"), "loan_id", "due_date", "mob")

@@ -34,9 +34,7 @@ def build_silver(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str)
     return tables.read_tables(spark, folder, list(tables.SCHEMAS))
 
 
-def build_gold(
-    spark: SparkSession, t: Mapping[str, DataFrame], folder: str, keys_from: DataFrame | None = None
-) -> dict[str, DataFrame]:
+def build_gold(spark: SparkSession, t: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Loan features and enriched repayments are read back before the marts that aggregate them."""
 
     def stored(name: str, df: DataFrame) -> DataFrame:
@@ -44,7 +42,7 @@ def build_gold(
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")
 
     features = stored("gold_loan_features", marts.loan_features(t))
-    enriched = stored("gold_repayment_enriched", marts.repayment_enriched(t["repayments"], features, keys_from))
+    enriched = stored("gold_repayment_enriched", marts.repayment_enriched(t["repayments"], features))
     return {
         "gold_loan_features": features,
         "gold_repayment_enriched": enriched,

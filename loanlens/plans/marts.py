@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from loanlens.functions.lending import dpd_bucket, is_30_plus, is_approved, month_of, risk_band
 from loanlens.functions.numbers import avg_score, percent, round_half_up, sum_money
 from loanlens.lazy import Lazy
-from loanlens.operators.skew import skew_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -28,8 +27,7 @@ def loan_features(t: Tables) -> DataFrame:
         .select("customer_id", "state", "city", "employment_type", "credit_segment")
         .join(t["bureau_features"], "customer_id", "left")
     )
-    sourced = skew_join(loans, applications, "app_id", ["loan_id"])
-    return skew_join(sourced, profile, "customer_id", ["loan_id"], keys_from=loans).select(
+    return loans.join(applications, "app_id").join(profile, "customer_id").select(
         "loan_id",
         "app_id",
         "customer_id",
@@ -54,8 +52,8 @@ def loan_features(t: Tables) -> DataFrame:
     )
 
 
-def repayment_enriched(repayments: DataFrame, features: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
-    """Every repayment, with its loan where there is one."""
+def repayment_enriched(repayments: DataFrame, features: DataFrame) -> DataFrame:
+    """Every repayment, with its loan where there is one. Hot loans are left to adaptive joins."""
     loans = features.select(
         "loan_id",
         "disbursed_month",
@@ -69,7 +67,7 @@ def repayment_enriched(repayments: DataFrame, features: DataFrame, keys_from: Da
         "risk_band",
     )
     return (
-        skew_join(repayments, loans, "loan_id", ["due_date", "dpd"], "left", keys_from=keys_from)
+        repayments.join(loans, "loan_id", "left")
         .withColumn("dpd_bucket", dpd_bucket(F.col("dpd")))
         .withColumn("is_30_plus_dpd", is_30_plus(F.col("dpd")))
     )
@@ -88,7 +86,7 @@ def approval_funnel(t: Tables) -> DataFrame:
     applicants = t["customers"].select("customer_id", "employment_type", "credit_segment")
     approved = F.sum("approved")
     return (
-        skew_join(applications, applicants, "customer_id", ["application_month", "risk_score"], "left")
+        applications.join(applicants, "customer_id", "left")
         .groupBy("application_month", "product", "channel", "employment_type", "credit_segment")
         .agg(
             F.count(F.lit(1)).alias("applications"),
@@ -129,14 +127,12 @@ def vintage_analysis(enriched: DataFrame) -> DataFrame:
     )
 
 
-def gold(t: Tables, keys_from: DataFrame | None = None) -> Lazy:
+def gold(t: Tables) -> Lazy:
     """All six marts as one graph; ``jobs.build_all`` writes and reads back the two shared ones."""
     marts = Lazy(
         {
             "gold_loan_features": lambda: loan_features(t),
-            "gold_repayment_enriched": lambda: repayment_enriched(
-                t["repayments"], marts["gold_loan_features"], keys_from
-            ),
+            "gold_repayment_enriched": lambda: repayment_enriched(t["repayments"], marts["gold_loan_features"]),
             "gold_approval_funnel": lambda: approval_funnel(t),
             "gold_portfolio_summary": lambda: portfolio_summary(marts["gold_loan_features"]),
             "gold_dpd_bucket_analysis": lambda: dpd_bucket_analysis(marts["gold_repayment_enriched"]),

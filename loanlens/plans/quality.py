@@ -4,7 +4,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions.lending import is_approved, month_of
 from loanlens.functions.numbers import fixed_text, percent, round_half_even_exact
-from loanlens.operators.skew import duplicate_key_groups, orphan_count
+from loanlens.operators.keys import duplicate_key_groups, orphan_count
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,11 +38,11 @@ SEVERITY_ORDER = {"CRITICAL": 1, "HIGH": 2}
 
 
 def _measured(rows: DataFrame, table: str, rule: str, severity: str, failed: str, metric: str, details: str) -> DataFrame:
-    """Measurements as ``table_name, rule_name, worst, failed, metric_value, details``; the last five are SQL."""
+    """Measurements as ``table_name, rule_name, worst, failed, metric_value, details``; all given as SQL."""
     return rows.selectExpr(
         f"{table} AS table_name",
         f"{rule} AS rule_name",
-        f"'{severity}' AS worst",
+        f"{severity} AS worst",
         f"{failed} AS failed",
         f"CAST({metric} AS DOUBLE) AS metric_value",
         f"{details} AS details",
@@ -61,45 +61,58 @@ def _graded(measured: list[DataFrame]) -> DataFrame:
     )
 
 
-def _null_rates(t: Tables) -> DataFrame:
-    """All columns of a table are counted in one scan and then turned into rows."""
-    parts = []
-    for table, columns in NULL_CHECKED.items():
-        counts = t[table].agg(F.expr("COUNT(*)").alias("total"), *[F.expr(f"COUNT_IF({c} IS NULL)").alias(c) for c in columns])
-        pairs = ", ".join(f"'{c}', {c}" for c in columns)
-        parts.append(counts.selectExpr(f"'{table}' AS checked", "total", f"STACK({len(columns)}, {pairs}) AS (name, nulls)"))
+NULLS, KEYS, OUTLIERS = "nulls", "keys", "outliers"
+
+
+def _counts(t: Tables, table: str, kinds: Sequence[str]) -> DataFrame | None:
+    """What one scan of a table tells: rows ``checked, total, kind, name, found``.
+
+    Missing values per column, rows beyond the first of each key (rows without
+    a key count as duplicates), and principals out of bounds.
+    """
+    found = {}
+    if NULLS in kinds:
+        found |= {(NULLS, c): f"COUNT_IF({c} IS NULL)" for c in NULL_CHECKED.get(table, [])}
+    if KEYS in kinds and table in PRIMARY_KEYS:
+        found[KEYS, PRIMARY_KEYS[table]] = f"COUNT(*) - COUNT(DISTINCT {PRIMARY_KEYS[table]})"
+    if OUTLIERS in kinds and table == "disbursements":
+        found[OUTLIERS, "principal"] = f"COUNT_IF(principal <= 0 OR principal > {MAX_PRINCIPAL})"
+    if not found:
+        return None
+    measures = [F.expr(count).alias(f"n{i}") for i, count in enumerate(found.values())]
+    cells = ", ".join(f"'{kind}', '{name}', n{i}" for i, (kind, name) in enumerate(found))
+    return (
+        t[table]
+        .agg(F.expr("COUNT(*)").alias("total"), *measures)
+        .selectExpr(f"'{table}' AS checked", "total", f"STACK({len(found)}, {cells}) AS (kind, name, found)")
+    )
+
+
+def _table_rules(t: Tables, *kinds: str) -> DataFrame:
+    """The rules that need one table only, in one scan of each."""
+    tables = dict.fromkeys([*NULL_CHECKED, *PRIMARY_KEYS])
+    parts = [part for table in tables if (part := _counts(t, table, kinds)) is not None]
     rates = (
         reduce(DataFrame.unionByName, parts)
-        .selectExpr("*", "100D * nulls / GREATEST(total, 1) AS share")
+        .selectExpr("*", "100D * found / GREATEST(total, 1) AS share")
         .withColumn("rate", round_half_even_exact("share", 3))
     )
-    return _measured(
-        rates,
-        "checked",
-        "CONCAT('null_rate_', name)",
-        "HIGH",
-        f"rate > {MAX_NULL_PERCENT}",
-        "rate",
-        "CONCAT(nulls, ' nulls out of ', total, ' rows')",
-    )
 
+    def by_kind(nulls: str, keys: str, outliers: str) -> str:
+        return f"CASE kind WHEN '{NULLS}' THEN {nulls} WHEN '{KEYS}' THEN {keys} ELSE {outliers} END"
 
-def _primary_key_duplicates(t: Tables) -> DataFrame:
-    """Rows beyond the first of each key; rows without a key count as duplicates."""
-    parts = [
-        t[table]
-        .agg(F.expr(f"COUNT(*) - COUNT(DISTINCT {key})").alias("extra"))
-        .selectExpr(f"'{table}' AS checked", f"'{key}' AS key", "extra")
-        for table, key in PRIMARY_KEYS.items()
-    ]
     return _measured(
-        reduce(DataFrame.unionByName, parts),
+        rates,
         "checked",
-        "CONCAT('duplicate_primary_key_', key)",
-        "CRITICAL",
-        "extra <> 0",
-        "extra",
-        "CONCAT('Duplicate ', key, ' rows: ', extra)",
+        by_kind("CONCAT('null_rate_', name)", "CONCAT('duplicate_primary_key_', name)", "'principal_outlier_threshold'"),
+        by_kind("'HIGH'", "'CRITICAL'", "'HIGH'"),
+        by_kind(f"rate > {MAX_NULL_PERCENT}", "found <> 0", "found <> 0"),
+        by_kind("rate", "CAST(found AS DOUBLE)", "CAST(found AS DOUBLE)"),
+        by_kind(
+            "CONCAT(found, ' nulls out of ', total, ' rows')",
+            "CONCAT('Duplicate ', name, ' rows: ', found)",
+            f"'Principal should be between 0 and {MAX_PRINCIPAL}'",
+        ),
     )
 
 
@@ -109,7 +122,7 @@ def _schedule_key_duplicates(t: Tables) -> DataFrame:
         duplicate_key_groups(t["repayments"], SCHEDULE_KEY),
         "'repayments'",
         "'duplicate_repayment_schedule_key'",
-        "HIGH",
+        "'HIGH'",
         "repeated <> 0",
         "repeated",
         "CONCAT('Duplicate repayment schedule keys: ', repeated)",
@@ -118,7 +131,7 @@ def _schedule_key_duplicates(t: Tables) -> DataFrame:
 
 def _orphans(t: Tables, child: str, parent: str, key: str, details: str) -> DataFrame:
     found = orphan_count(t[child], t[parent], key)
-    return _measured(found, f"'{child}'", f"'fk_{key}_exists'", "CRITICAL", "orphans <> 0", "orphans", f"'{details}'")
+    return _measured(found, f"'{child}'", f"'fk_{key}_exists'", "'CRITICAL'", "orphans <> 0", "orphans", f"'{details}'")
 
 
 def _applications_without_customer(t: Tables) -> DataFrame:
@@ -129,19 +142,6 @@ def _repayments_without_loan(t: Tables) -> DataFrame:
     return _orphans(t, "repayments", "disbursements", "loan_id", "Repayments with missing loan_id")
 
 
-def _principal_outliers(t: Tables) -> DataFrame:
-    outside = f"COUNT_IF(principal <= 0 OR principal > {MAX_PRINCIPAL})"
-    return _measured(
-        t["disbursements"].agg(F.expr(outside).alias("found")),
-        "'disbursements'",
-        "'principal_outlier_threshold'",
-        "HIGH",
-        "found <> 0",
-        "found",
-        f"'Principal should be between 0 and {MAX_PRINCIPAL}'",
-    )
-
-
 def _approval_monthly_drop(t: Tables) -> DataFrame:
     """The newest month's approval rate against the month before it.
 
@@ -165,7 +165,7 @@ def _approval_monthly_drop(t: Tables) -> DataFrame:
         change,
         "'loan_applications'",
         "'approval_rate_monthly_drop_gt_5pp'",
-        "HIGH",
+        "'HIGH'",
         f"COALESCE(drop > {MAX_DROP_POINTS}, false)",
         "COALESCE(drop, 0D)",
         "COALESCE(CONCAT('Latest approval rate ', latest, '% vs previous ', previous, '%; drop=', "
@@ -174,12 +174,12 @@ def _approval_monthly_drop(t: Tables) -> DataFrame:
 
 
 RULES = {
-    "null_rates": _null_rates,
-    "primary_key_duplicates": _primary_key_duplicates,
+    "null_rates": lambda t: _table_rules(t, NULLS),
+    "primary_key_duplicates": lambda t: _table_rules(t, KEYS),
+    "principal_outliers": lambda t: _table_rules(t, OUTLIERS),
     "schedule_key_duplicates": _schedule_key_duplicates,
     "applications_without_customer": _applications_without_customer,
     "repayments_without_loan": _repayments_without_loan,
-    "principal_outliers": _principal_outliers,
     "approval_monthly_drop": _approval_monthly_drop,
 }
 
@@ -190,8 +190,9 @@ def check(rule: str, t: Tables) -> DataFrame:
 
 
 def report(t: Tables) -> DataFrame:
-    """Every rule, one row per check."""
-    return _graded([measure(t) for measure in RULES.values()])
+    """Every rule, one row per check; what one table can tell comes from one scan of it."""
+    across = [_schedule_key_duplicates, _applications_without_customer, _repayments_without_loan, _approval_monthly_drop]
+    return _graded([_table_rules(t, NULLS, KEYS, OUTLIERS), *[measure(t) for measure in across]])
 
 
 def severity_rank(severity: Column) -> Column:

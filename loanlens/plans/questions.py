@@ -176,8 +176,7 @@ def quality_finding(checks: DataFrame) -> DataFrame:
 
 
 def portfolio_finding(summary: DataFrame) -> DataFrame:
-    """Totals over the slice that the portfolio question shows, and its largest segment."""
-    shown = analysis.portfolio_top(summary)
+    """Totals over the whole portfolio, and its largest segment."""
     largest = F.struct(
         F.coalesce("principal_disbursed", F.lit(0.0)).alias("amount"),
         "disbursed_month",
@@ -187,7 +186,7 @@ def portfolio_finding(summary: DataFrame) -> DataFrame:
         "principal_disbursed",
         "avg_risk_score",
     )
-    totals = shown.agg(
+    totals = summary.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("loans").alias("loans"),
         sum_money(F.col("principal_disbursed")).alias("principal"),
@@ -195,7 +194,7 @@ def portfolio_finding(summary: DataFrame) -> DataFrame:
     )
     top = F.col("top")
     values = {
-        "total_loans": F.col("loans").cast("string"),
+        "total_loans": F.coalesce("loans", F.lit(0)).cast("string"),
         "total_principal": float_text(F.coalesce("principal", F.lit(0.0)), 2),
         "product": _name(top["product"]),
         "channel": _name(top["channel"]),
@@ -317,3 +316,37 @@ def evidence(questions: DataFrame, marts: Tables, checks: DataFrame, passages: D
             F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*entries)), ","), F.lit("}")).alias("evidence"),
         )
     )
+
+
+def evidence_rows(questions: DataFrame, marts: Tables, checks: DataFrame, passages: DataFrame) -> DataFrame:
+    """The same evidence as rows: ``question, tool, row_number, column_name, value``, numbers with four decimals."""
+    results = {
+        p.APPROVAL_TOOL: analysis.approval_drop(marts["gold_approval_funnel"]),
+        p.QUALITY_TOOL: quality.listing(checks),
+        p.DELINQUENCY_TOOL: analysis.delinquency(marts["gold_dpd_bucket_analysis"]),
+        p.PORTFOLIO_TOOL: analysis.portfolio_top(marts["gold_portfolio_summary"]),
+    }
+    shown = reduce(DataFrame.unionByName, [_cells(_numbered(rows), tool, rows) for tool, rows in results.items()])
+    asked = tools(flags(questions)).select("question", F.explode("tools_used").alias("tool"))
+    hits = passages.select("question_id", F.col("rank").alias("row_number"), retrieval.chunk_id().alias("source"), "text", "score")
+    cited = _cells(hits, p.POLICY_EVIDENCE, hits.select("source", "text", "score"), "question_id")
+    return asked.join(shown, "tool").select("question", "tool", "row_number", "column_name", "value").unionByName(
+        cited.withColumnRenamed("question_id", "question")
+    )
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """A short ordered result with ``row_number`` from 1, in its order."""
+    placed = rows.withColumn("n", F.monotonically_increasing_id())
+    ordered = placed.agg(F.sort_array(F.collect_list(F.struct("n", F.struct(*rows.columns).alias("row")))).alias("r"))
+    return ordered.select(F.posexplode("r").alias("pos", "x")).select((F.col("pos") + 1).alias("row_number"), "x.row.*")
+
+
+def _cells(numbered: DataFrame, tool: str, shape: DataFrame, *keys: str) -> DataFrame:
+    """One row per cell of the columns of ``shape``."""
+
+    def text(name: str, kind: str) -> Column:
+        return (F.col(name).cast("decimal(30,4)") if kind == "double" else F.col(name)).cast("string")
+
+    cells = [F.struct(F.lit(name).alias("column_name"), text(name, kind).alias("value")) for name, kind in shape.dtypes]
+    return numbered.select(*keys, F.lit(tool).alias("tool"), "row_number", F.inline(F.array(*cells)))

@@ -12,15 +12,6 @@ def read_text_files(spark: SparkSession, folder: str, pattern: str = "*.md") ->
     return files.select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute an input that arrives in fewer pieces than there are cores.
-
-    A large input has many more and is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     documents = spark.read.parquet(f"{folder}/documents.parquet")
-    return spread(documents.select(F.col("doc_id").cast("string").alias("source"), "text"))
+    return documents.select(F.col("doc_id").cast("string").alias("source"), "text")

@@ -3,7 +3,9 @@
 The available tables hold customers, orders and order lines rather than loans.
 Read as lending data, an order is a loan application, an order with status F
 was approved and disbursed, and its lines are the instalments of that loan.
-Every row of the tables takes part.
+Every row of the tables takes part: lines of orders that were not approved are
+repayments without a loan, and customers in debt have a bureau record without a
+score.
 """
 
 from __future__ import annotations
@@ -11,10 +13,11 @@ from __future__ import annotations
 from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loanlens.functions.lending import income_segment
 from loanlens.functions.phrases import DEMO_QUESTIONS
 from loanlens.lazy import Lazy
-from loanlens.operators.skew import skew_join
 
 # How codes of the order-entry tables read as lending terms.
 EMPLOYMENT = {
@@ -32,8 +35,6 @@ PRODUCT = {
     "5-LOW": "Personal Loan",
 }
 QUESTION_OF_EVENT = dict(zip(["click", "view", "purchase", "signup", "error"], DEMO_QUESTIONS, strict=True))
-SEGMENT = """CASE WHEN monthly_income > 90000 THEN 'Affluent' WHEN monthly_income > 50000 THEN 'Prime'
-                  WHEN monthly_income > 25000 THEN 'Emerging' ELSE 'Mass' END"""
 
 
 def _mapped(column: str, terms: dict[str, str]) -> str:
@@ -45,26 +46,26 @@ class StarSchema:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
-        self._loans = cache(partial(_loans, self.table))
+        self._applied = cache(partial(_applied, self.table))
         self.lending = Lazy(
             {
                 "customers": lambda: customers(self.table),
                 "bureau_features": lambda: bureau_features(self.table),
                 "loan_applications": lambda: _applications(self.table).drop("o_orderkey", "order_day"),
-                "disbursements": lambda: disbursements(self._loans()),
-                "repayments": lambda: repayments(self.table, self._loans()),
-                "collection_calls": lambda: collection_calls(self.table, self._loans()),
+                "disbursements": lambda: disbursements(self._applied()),
+                "repayments": lambda: repayments(self.table, self._applied()),
+                "collection_calls": lambda: collection_calls(self.table),
             }
         )
 
-    def repayment_loan_ids(self) -> DataFrame:
-        """The loan ids of the repayments and more, from one column: where to look for hot loans."""
-        return self.table("lineitem").selectExpr("CAST(l_orderkey AS STRING) AS loan_id")
-
     def questions(self) -> DataFrame:
         """One question per event; the kind of event decides which of the demo questions it asks."""
         return self.table("events").selectExpr("event_id", f"{_mapped('event_type', QUESTION_OF_EVENT)} AS question")
 
+    def conversations(self) -> DataFrame:
+        """What people wrote in conversations, as questions."""
+        return self.table("conversations").selectExpr("conv_id", "turn", "role", "text AS question")
+
     def passages_to_find(self) -> DataFrame:
         """The benchmark passages as questions to the documents."""
         return self.table("benchmark").selectExpr("CAST(item_id AS STRING) AS question_id", "text AS question")
@@ -75,31 +76,27 @@ def customers(table) -> DataFrame:
     people = table("customer").selectExpr(
         "*", "CAST((FLOOR(c_acctbal) + 1000) * 10 + 12000 AS DOUBLE) AS monthly_income"
     )
-    return people.join(places, people["c_nationkey"] == places["n_nationkey"]).selectExpr(
-        "CAST(c_custkey AS STRING) AS customer_id",
-        "r_name AS state",
-        "n_name AS city",
-        "CAST(c_custkey % 41 + 21 AS INT) AS age",
-        f"{_mapped('c_mktsegment', EMPLOYMENT)} AS employment_type",
+    return people.join(places, people["c_nationkey"] == places["n_nationkey"]).select(
+        F.expr("CAST(c_custkey AS STRING) AS customer_id"),
+        F.expr("r_name AS state"),
+        F.expr("n_name AS city"),
+        F.expr("CAST(c_custkey % 41 + 21 AS INT) AS age"),
+        F.expr(f"{_mapped('c_mktsegment', EMPLOYMENT)} AS employment_type"),
         "monthly_income",
-        f"{SEGMENT} AS credit_segment",
-        "DATE_ADD(DATE '2025-01-01', CAST(c_custkey % 500 AS INT)) AS created_at",
+        income_segment(F.col("monthly_income")).alias("credit_segment"),
+        F.expr("DATE_ADD(DATE '2025-01-01', CAST(c_custkey % 500 AS INT)) AS created_at"),
     )
 
 
 def bureau_features(table) -> DataFrame:
-    """Customers in debt have no bureau record, so the left join to it has misses."""
-    return (
-        table("customer")
-        .filter("c_acctbal >= 0")
-        .selectExpr(
-            "CAST(c_custkey AS STRING) AS customer_id",
-            "CAST(FLOOR(c_acctbal * 0.06D) + 300 AS INT) AS bureau_score",
-            "CAST(c_custkey % 10 AS INT) AS active_loans",
-            "c_custkey % 101 / 100D AS credit_utilization",
-            "CAST(c_custkey % 9 AS INT) AS enquiries_3m",
-            "CAST(c_custkey DIV 6 % 4 AS INT) AS delinq_12m",
-        )
+    """Customers in debt have a record without a score."""
+    return table("customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "IF(c_acctbal >= 0, CAST(FLOOR(c_acctbal * 0.06D) + 300 AS INT), NULL) AS bureau_score",
+        "CAST(c_custkey % 10 AS INT) AS active_loans",
+        "c_custkey % 101 / 100D AS credit_utilization",
+        "CAST(c_custkey % 9 AS INT) AS enquiries_3m",
+        "CAST(c_custkey DIV 6 % 4 AS INT) AS delinq_12m",
     )
 
 
@@ -134,18 +131,15 @@ def _applications(table) -> DataFrame:
     )
 
 
-def _loans(table) -> DataFrame:
-    return (
-        _applications(table)
-        .filter("approval_status = 'Approved'")
-        .selectExpr(
-            "*", "app_id AS loan_id", "DATE_ADD(application_date, CAST(o_orderkey % 6 + 1 AS INT)) AS disbursed_date"
-        )
+def _applied(table) -> DataFrame:
+    """Applications with the id and the payout day that their loan has if they are approved."""
+    return _applications(table).selectExpr(
+        "*", "app_id AS loan_id", "DATE_ADD(application_date, CAST(o_orderkey % 6 + 1 AS INT)) AS disbursed_date"
     )
 
 
-def disbursements(loans: DataFrame) -> DataFrame:
-    return loans.selectExpr(
+def disbursements(applied: DataFrame) -> DataFrame:
+    return applied.filter("approval_status = 'Approved'").selectExpr(
         "loan_id",
         "app_id",
         "customer_id",
@@ -157,8 +151,8 @@ def disbursements(loans: DataFrame) -> DataFrame:
     )
 
 
-def repayments(table, loans: DataFrame) -> DataFrame:
-    """Lines of approved orders. The largest lines with the largest discount were never paid."""
+def repayments(table, applied: DataFrame) -> DataFrame:
+    """Every line. The largest lines with the largest discount were never paid."""
     lines = table("lineitem").selectExpr(
         "l_orderkey AS o_orderkey",
         "l_linenumber",
@@ -168,7 +162,7 @@ def repayments(table, loans: DataFrame) -> DataFrame:
         "CAST(l_shipdate AS DATE) AS ship_day",
     )
     return (
-        skew_join(lines, loans.select("o_orderkey", "loan_id", "order_day", "disbursed_date"), "o_orderkey", ["ship_day"])
+        lines.join(applied.select("o_orderkey", "loan_id", "order_day", "disbursed_date"), "o_orderkey")
         .selectExpr(
             "*",
             "GREATEST(DATEDIFF(ship_day, order_day), 0) % 121 AS dpd",
@@ -187,11 +181,11 @@ def repayments(table, loans: DataFrame) -> DataFrame:
     )
 
 
-def collection_calls(table, loans: DataFrame) -> DataFrame:
-    events = table("events")
-    return events.join(loans, events["event_id"] == loans["o_orderkey"]).selectExpr(
+def collection_calls(table) -> DataFrame:
+    """Every event is a call about the loan of its own number, if there is one."""
+    return table("events").selectExpr(
         "CAST(event_id AS STRING) AS call_id",
-        "loan_id",
+        "CAST(event_id AS STRING) AS loan_id",
         "CAST(ts AS DATE) AS call_date",
         "event_type AS outcome",
         "props AS agent_notes",

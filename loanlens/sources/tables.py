@@ -34,9 +34,22 @@ def typed(raw: DataFrame, table: str) -> DataFrame:
     return raw.selectExpr(*[f"CAST({name} AS {kind}) AS {name}" for name, kind in columns_of(table)])
 
 
-def read_bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """One CSV (file or folder of files) per table. Types are declared, so no pass over the data infers them."""
-    return {table: spark.read.option("header", True).csv(f"{folder}/{table}.csv") for table in SCHEMAS}
+def read_csv(spark: SparkSession, path: str, table: str, line_breaks: bool = True) -> DataFrame:
+    """One table's CSV (file or folder of files), all columns as text.
+
+    Quotes inside a quoted value are doubled. A row with more or fewer values
+    than the header stops the job, and so does a header that names other
+    columns. ``line_breaks``: values may hold line breaks; then a file is not
+    split among tasks, so large tables come as many files, or without breaks.
+    """
+    names = ", ".join(f"{name} string" for name, _ in columns_of(table))
+    options = {"header": True, "enforceSchema": False, "mode": "FAILFAST", "quote": '"', "escape": '"', "multiLine": line_breaks}
+    return spark.read.schema(names).options(**options).csv(path)
+
+
+def read_bronze(spark: SparkSession, folder: str, line_breaks: bool = True) -> dict[str, DataFrame]:
+    """Types are declared, so no pass over the data infers them."""
+    return {table: read_csv(spark, f"{folder}/{table}.csv", table, line_breaks) for table in SCHEMAS}
 
 
 def silver(raw: Mapping[str, DataFrame]) -> Lazy:
@@ -62,6 +75,7 @@ def write_table(df: DataFrame, folder: str, name: str, month: str | None = None)
 
 
 def write_report(report: DataFrame, folder: str, name: str) -> None:
-    """A report of a few dozen rows, as Parquet and as one CSV with a header."""
+    """A report of a few dozen rows, as Parquet and, from that, as one CSV with a header."""
     report.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
+    written = report.sparkSession.read.schema(report.schema).parquet(f"{folder}/{name}.parquet")
+    written.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}.csv")

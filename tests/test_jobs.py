@@ -56,6 +56,28 @@ def test_month_layout_prunes(spark, built):
     assert "PartitionFilters: [isnotnull(disbursed_month" in plan and features.count() == 2
 
 
+def notes(spark, tmp_path, *lines):
+    (tmp_path / "calls.csv").write_text("call_id,loan_id,call_date,outcome,agent_notes\n" + "\n".join(lines) + "\n", encoding="utf-8")
+    return tables.read_csv(spark, str(tmp_path / "calls.csv"), "collection_calls")
+
+
+def test_quotes_and_line_breaks_in_csv(spark, tmp_path):
+    got = notes(spark, tmp_path, 'k1,l1,2026-07-02,Connected,"said ""pay, later"""', 'k2,l1,2026-07-02,Connected,"two\nlines"').collect()
+    assert [(r["call_id"], r["agent_notes"]) for r in got] == [("k1", 'said "pay, later"'), ("k2", "two\nlines")]
+
+
+@pytest.mark.parametrize("line", ["k1,l1", "k1,l1,2026-07-02,Connected,ok,more"])
+def test_short_and_long_csv_rows_stop_the_job(spark, tmp_path, line):
+    with pytest.raises(Exception, match="MALFORMED"):
+        notes(spark, tmp_path, "k0,l1,2026-07-02,Connected,ok", line).collect()
+
+
+def test_another_header_stops_the_job(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("loan_id,call_id,call_date,outcome,agent_notes\na,b,c,d,e\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header|schema"):
+        tables.read_csv(spark, str(tmp_path / "c.csv"), "collection_calls").collect()
+
+
 def test_a_bad_value_stops_the_job(spark):
     raw = spark.createDataFrame([("c", "s", "t", "old", "e", "1", "x", "2025-01-01")], [n for n, _ in tables.columns_of("customers")])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

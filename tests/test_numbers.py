@@ -1,3 +1,4 @@
+import math
 import random
 from fractions import Fraction
 
@@ -36,3 +37,13 @@ def test_aggregates_are_exact_and_skip_missing_values(spark):
     assert got[0] == sum(cents) / 100
     assert got[1] == float(Fraction(sum(cents), 100 * len(cents))) or abs(got[1] - sum(cents) / 100 / len(cents)) < 1e-9
     assert df.filter("x IS NULL").agg(avg_score(F.col("x"))).first()[0] is None
+
+
+def test_sums_keep_what_lies_beyond_two_decimals(spark):
+    many = spark.range(1000).selectExpr("1.004D AS x")
+    assert many.agg(sum_money(F.col("x"))).first()[0] == 1004.0
+    assert many.selectExpr("0.00004D AS x").agg(avg_score(F.col("x"))).first()[0] == 0.00004
+    draw = random.Random(9)
+    values = [round(draw.uniform(-1e7, 1e7), draw.randrange(8)) for _ in range(3000)]
+    got = spark.createDataFrame([(v,) for v in values], "x double").repartition(5).agg(sum_money(F.col("x"))).first()[0]
+    assert abs(got - math.fsum(values)) < 1e-6

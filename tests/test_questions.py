@@ -64,8 +64,7 @@ def test_answers(spark, world):
     assert "**Impacted area:** App / Salaried." in got[DEMO_QUESTIONS[4]]["answer"]
     assert "**Impacted area:** Approval funnel / Applicant mix." in got["an incident"]["answer"]
     assert "changed from **NA%** to **NA%**" in got["an incident"]["answer"]
-    top = analysis.portfolio_top(gold["gold_portfolio_summary"]).collect()
-    assert f"covers **{sum(r['loans'] for r in top)} loans**" in got[DEMO_QUESTIONS[3]]["answer"]
+    assert f"covers **{sum(r['loans'] for r in gold['gold_portfolio_summary'].collect())} loans**" in got[DEMO_QUESTIONS[3]]["answer"]
     metrics = {r["question"]: r for r in questions.answer_metrics(spark.createDataFrame(list(got.values()))).collect()}
     assert metrics[DEMO_QUESTIONS[0]]["answer_chars"] == len(approval)
     assert {(r["has_policy_citation"], r["mentions_action"]) for r in metrics.values()} == {(1, 1)}
@@ -81,6 +80,23 @@ def test_findings_without_rows_fall_back(spark, world):
     assert "No critical DQ rule returned / NA" in got["incident"]["finding"]
 
 
+def test_evidence_rows_and_json_agree(spark, world):
+    gold, checks = world
+    q = asked(spark, DEMO_QUESTIONS)
+    docs = spark.createDataFrame([("p.md", 1, "approval policy"), ("r.md", 1, "data quality")], "source string, chunk_no int, text string")
+    passages = hits(spark, q).join(docs, ["source", "chunk_no"])
+    cells = {(r["question"], r["tool"], r["row_number"], r["column_name"]): r["value"] for r in questions.evidence_rows(q, gold, checks, passages).collect()}
+    n = 0
+    for row in questions.evidence(q, gold, checks, passages).collect():
+        for tool, shown in json.loads(row["evidence"]).items():
+            for number, values in enumerate(shown, 1):
+                for name, value in values.items():
+                    told = cells[row["question"], tool, number, name]
+                    assert told == value if isinstance(value, str | None) else float(told) == pytest.approx(value, abs=1e-4)
+                    n += 1
+    assert n == len(cells)
+
+
 def test_evidence_holds_the_rows_of_the_tools(spark, world):
     gold, checks = world
     q = asked(spark, DEMO_QUESTIONS)

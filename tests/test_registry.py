@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import DataFrameReader
 
 import __spark_entry__ as registry
 from check_oracle import compare, connection
@@ -13,11 +14,38 @@ SAMPLE = [
     "policy_top_k",
     "report_portfolio",
     "overdue_call_list",
+    "contract_check",
+    "schema_drift",
+    "dq_freshness",
+    "dq_fk_rate",
+    "dpd_roll_matrix",
+    "collection_priority",
+    "policy_decision",
+    "approval_rate_grouping_sets",
+    "dq_incidents",
+    "conversation_routing",
+    "evidence_json",
+    "repayment_schedule",
 ]
 
 
-def test_every_query_but_the_json_one_has_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == registry.NOT_IN_SQL
+def test_every_lending_query_has_sql():
+    lending = set(registry._lending_queries())
+    assert lending <= set(registry.oracle_sql())
+
+
+def test_describing_a_query_starts_no_job(spark, monkeypatch):
+    """Beyond reading the schemas of its tables."""
+    reads = []
+    read = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *a, **k: reads.append(a) or read(self, *a, **k))
+    context = spark.sparkContext
+    for name, query in registry._lending_queries().items():
+        reads.clear()
+        context.setJobGroup(f"describe {name}", name)
+        query(spark, FOLDER)
+        assert len(context.statusTracker().getJobIdsForGroup(f"describe {name}")) <= len(reads), name
+    context.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_entry(spark):

@@ -32,7 +32,7 @@ def brute_terms(text):
     return Counter(kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])])
 
 
-def brute_retrieve(k=3, max_features=5000):
+def brute_retrieve(k=3, max_features=None):
     chunks = [(s, i + 1, c) for s in sorted(CORPUS) for i, c in enumerate(brute_chunks(CORPUS[s]))]
     counts = [brute_terms(c) for _, _, c in chunks]
     total, df = Counter(), Counter()
@@ -91,16 +91,24 @@ def test_term_counts(spark, documents):
 
 
 def test_retrieval_agrees_with_brute_force(spark, documents, asked):
-    for max_features in (5000, 12):
+    for max_features in (None, 12):
         index = retrieval.tfidf_index(documents, max_features)
         got = hits(retrieval.retrieve(asked, index))
         assert got == brute_retrieve(max_features=max_features)
     assert len([h for h in got if h[0] == "q3" and h[4] == 0.0]) == 3
 
 
-def test_retrieval_in_several_parts(spark, documents, asked, monkeypatch):
-    monkeypatch.setattr(retrieval, "TERMS_PER_BROADCAST", 8)
-    assert hits(retrieval.retrieve(asked, retrieval.tfidf_index(documents))) == brute_retrieve()
+def test_every_term_is_kept(spark, documents):
+    index = retrieval.tfidf_index(documents)
+    chunk_table = [(s, i + 1, c) for s in CORPUS for i, c in enumerate(brute_chunks(CORPUS[s]))]
+    want = {(s, n, t) for s, n, c in chunk_table for t in brute_terms(c)}
+    weights = retrieval.normalized(index).collect()
+    assert {(r["source"], r["chunk_no"], r["term"]) for r in weights} == want and len(weights) == len(want)
+    assert index.vocabulary.count() == len({t for _, _, t in want})
+    length = {}
+    for r in weights:
+        length[r["source"], r["chunk_no"]] = length.get((r["source"], r["chunk_no"]), 0.0) + r["weight"] ** 2
+    assert all(abs(v - 1) < 1e-9 for v in length.values())
 
 
 def test_index_round_trip_and_citations(spark, documents, asked, tmp_path):
