@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,3 +58,9 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column | str], bucket: Co
 def bucket_of(fraction: Column) -> Column:
     """The bucket of a number in [0, 1)."""
     return F.least(F.floor(fraction * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
+def kept_by_worker(name: str) -> dict:
+    """What a Python worker process keeps from one task to the next, for caches that decide no result."""
+    module = sys.modules.setdefault("_loanlens_kept", types.ModuleType("_loanlens_kept"))
+    return vars(module).setdefault(name, {})

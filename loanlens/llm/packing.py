@@ -7,8 +7,8 @@ sequence. So the plan is made from their counts, and rows only look up their pla
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -19,44 +19,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlens.llm.common import bucket_of, ranked
+from loanlens.llm.common import bucket_of, kept_by_worker, ranked
 from loanlens.session import stored
 
 LENGTH = 4096
 END = 1
-#: Different words whose ids a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Different words and parts whose ids a worker remembers before it starts anew.
+REMEMBERED = 1_000_000
 TEXTS_AT_ONCE = 256
-# These are blanks to str.split but not to the tokenizer's pattern.
-NO_BLANKS = re.compile("[\x1c-\x1f]")
+#: Signs that are split off behind a word. The apostrophe is not: what follows it may be a token with it.
+TAIL = ",.!#$%&*|?;:\"()"
 
 
 class WordEncoder:
     """Texts to ids, with the end id last.
 
     The tokenizer never joins what a blank separates, so the ids of a text are those of its
-    words; those of a word are remembered, and unknown words of several texts are encoded at once.
+    words. Words are remembered by the worker process, from one task to the next, and unknown
+    words of several texts are encoded at once. Words that differ in what the tokenizer does not
+    see, or in punctuation it splits off, share the work: see ``parts``.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        kept = kept_by_worker(f"words of {path}")
+        if "tokenizer" not in kept:
+            kept |= {"tokenizer": Tokenizer.from_file(path), "known": {}}
+        self.tokenizer, self.known = kept["tokenizer"], kept["known"]
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    @staticmethod
+    def parts(word: bytes) -> list[str]:
+        """What can be encoded apart: ASCII words in lower case, and punctuation behind a letter or digit.
+
+        The tokenizer splits letters and digits from other signs itself. Its special tokens are
+        found before it lowers, so words with their first signs are left alone, and so are words
+        that end in characters beyond Latin letters.
+        """
+        text = word.decode()
+        if "<|" in text:
+            return [text]
+        if text.isascii():
+            text = text.lower()
+        body = text.rstrip(TAIL)
+        if body == text or not body or not (body[-1].isalnum() and body[-1] < "\u0250"):
+            return [text]
+        return [body, text[len(body) :]]
+
+    def _learn(self, words: list[bytes]) -> None:
+        split = {word: self.parts(word) for word in words}
+        new = [p for p in dict.fromkeys(p for parts in split.values() for p in parts) if p not in self.known]
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found, strict=True))
+        for word, parts in split.items():
+            self.known[word] = self.known[parts[0]] if len(parts) == 1 else self.known[parts[0]] + self.known[parts[1]]
 
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        split = [None if NO_BLANKS.search(t or "") else (t or "").split() for t in texts]
+        split = [(t or "").encode().split() for t in texts]  # at ASCII blanks
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [w for w in set().union(*filter(None, split)) if w not in self.known]
-        self.known.update(zip(new, self._bytes(new), strict=True))
-        for text, words in zip(texts, split, strict=True):
-            found = self._bytes([text])[0] if words is None else b"".join(map(self.known.__getitem__, words))
+        self._learn([w for w in set().union(*split) if w not in self.known])
+        for words in split:
+            found = b"".join(map(self.known.__getitem__, words))
             yield np.frombuffer(found + END.to_bytes(4, "little"), dtype="<u4")
 
 

@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import __spark_entry__ as registry
 from loanlens.llm import packing, quality
@@ -185,6 +187,17 @@ def test_words_are_encoded_as_in_their_text():
         assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZ9 ,.'’!#<|>\u0331\u0301éÉßΣσİ\u00a0\x1c\t\u2028中\u0338=_") | st.characters(exclude_categories=["Cs"]), max_size=24), max_size=4))
+def test_any_text_is_encoded_as_a_whole(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = [*texts, "".join(texts) + "<|endoftext|> <|ENDOFTEXT|> we'll, H\u0331."]
+    for text, ids in zip(texts, packing.WordEncoder(tokenizer_path())(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
+
+
 def test_op9_all_pairs(spark):
     import xxhash
 
