@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -21,6 +22,8 @@ from loanlens.session import shared_folder
 DEDUPLICATED_FROM = 1000
 #: Records at most so far apart in an archive are read in one go, up to so many bytes.
 GAP, READ_AT_ONCE = 1 << 16, 1 << 23
+#: Compressed bytes that a task reads.
+READ_PER_TASK = 1 << 25
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "archive string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
@@ -164,7 +167,9 @@ def read_records(selected: DataFrame, folder: str, with_payload: bool = False) -
     Rows are dealt by archive and offset, so each task reads ranges of few archives front to back;
     an archive of any size can be shared by many tasks.
     """
-    places = selected.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    # index rows are small and records are not: the bytes to read tell the number of tasks
+    tasks = max(1, math.ceil((selected.agg(F.sum("length")).first()[0] or 0) / READ_PER_TASK))
+    places = selected.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset")
     ordered = places.sortWithinPartitions("archive", "offset")
     return ordered.mapInArrow(_read(folder, with_payload), RECORD + ", payload binary" * with_payload)
 
