@@ -15,6 +15,8 @@ SHARE = 1.5
 MOST_COPIES = 2
 #: After the sample, the words still missing are filled with what fits, in the same order, so often.
 FILLS = 2
+#: A table with a row for each of so many sources is broadcast; it has some MB.
+FEW_SOURCES = 50_000
 SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -53,6 +55,15 @@ def targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     )
 
 
+def _drawn(rows: DataFrame, size: Column, source_column: str, id_columns: tuple[str, ...], seed: str) -> DataFrame:
+    """The rows carried whole, with ``stratum``, ``size`` and a repeatable ``random`` number."""
+    marked = carried(rows.withColumn("size", size))
+    source = F.col(f"{ROW}.`{source_column}`").cast("string")
+    last = F.concat(F.when(source.isNull(), F.lit("1")).otherwise(F.lit("0")), F.coalesce(source, F.lit("")))
+    random = unit(F.lit(seed), *[F.col(f"{ROW}.`{c}`") for c in id_columns])
+    return marked.select(ROW, last.alias("stratum"), F.col(f"{ROW}.size").alias("size"), random.alias("random"))
+
+
 def sample_copies(
     rows: DataFrame,
     size: Column,
@@ -71,91 +82,92 @@ def sample_copies(
     more often. The sample's size is fixed in words: it ends before the row that would pass the
     target, and the words still missing are filled with the next rows that fit.
 
+    Where a source's sample ends is a number per source. It is found on sizes and random numbers
+    alone; the rows themselves are then told by one pass that meets that small table, and are
+    neither shuffled nor written.
+
     Rows with no words are never missed: they count nothing. A null source is one of its own, the
-    last. Rows that agree in ``id_columns``, source and size are interchangeable. Reruns agree.
-    Columns of the input named like the added ones are replaced.
+    last. Rows that agree in ``id_columns``, source and size have the same place in the order and
+    are taken alike. Reruns agree. Columns of the input named like the added ones are replaced.
     """
-    ids = [F.col(f"{ROW}.`{c}`") for c in id_columns]
-    source = F.col(f"{ROW}.`{source_column}`").cast("string")
-    last = F.concat(F.when(source.isNull(), F.lit("1")).otherwise(F.lit("0")), F.coalesce(source, F.lit("")))
-    marked = carried(rows.withColumn("size", size))
-    random = unit(F.lit(seed), *ids)
-    drawn = stored(
-        marked.select(ROW, last.alias("stratum"), F.col(f"{ROW}.size").alias("size"), random.alias("random")), "drawn"
-    )
-    goals = stored(targets(drawn, weights, share), "targets")
+    drawn = _drawn(rows, size, source_column, id_columns, seed)
+    narrow = stored(drawn.select("stratum", "size", "random"), "drawn")
+    plan = _per_source(_rates(targets(narrow, weights, share)), "plan")
+    for _ in range(FILLS + 1):
+        plan = _per_source(_cut(_ordered(narrow, plan), plan), "plan")
+    told = _ordered(drawn, plan).withColumn("copies", (F.col("whole") + F.col("taken").cast("int")).cast("int"))
+    return unpacked(told, [*rows.columns, "size"], "size", "source_size", "target", "copies")
+
+
+def _per_source(table: DataFrame, name: str) -> DataFrame:
+    """A table with a row per source, written once; broadcast if there are few of them."""
+    table = stored(table, name)
+    return F.broadcast(table) if table.count() <= FEW_SOURCES else table
+
+
+def _rates(goals: DataFrame) -> DataFrame:
+    """Per source the whole copies, the rate left and its words, and no cuts yet."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    planned = (
-        drawn.join(goals, "stratum")
-        .withColumn("whole", F.floor(rate))
+    return (
+        goals.withColumn("whole", F.floor(rate))
         .withColumn("part", rate - F.col("whole"))
         .withColumn("open", F.col("target") - F.col("whole") * F.col("source_size"))
+        .withColumn("cuts", F.array().cast("array<struct<most:double,last:double>>"))
     )
+
+
+def _ordered(drawn: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with their place in the Pareto order, and whether a cut so far has taken them."""
     odds = F.col("part") / (1 - F.col("part")) * F.sqrt(F.greatest(F.col("size"), F.lit(1)).cast("double"))
     pareto = F.when(F.col("part") > 0, F.col("random") / (1 - F.col("random")) / odds)
-    ordered = planned.withColumn("pareto", pareto)
-    chosen = _prefixes(ordered, ids, FILLS)
-    taken = chosen.withColumn("copies", (F.col("whole") + F.col("extra")).cast("int"))
-    return unpacked(taken, [*rows.columns, "size"], "size", "source_size", "target", "copies")
+    taken = F.exists("cuts", lambda cut: (F.col("size") <= cut["most"]) & (F.col("pareto") <= cut["last"]))
+    joined = drawn.join(plan, "stratum").withColumn("pareto", pareto)
+    return joined.withColumn("taken", F.coalesce(taken, F.lit(False)))
 
 
-def _prefixes(ordered: DataFrame, ids: list[Column], fills: int) -> DataFrame:
-    """Add ``extra`` (0 or 1): the front of the Pareto order that fits, then what else fits.
+def _cut(ordered: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` with one more cut per source: how far the open words reach among the rows that fit.
 
-    Sums of sizes per source and bucket of the order tell in which bucket a source's sample ends;
-    only that bucket's rows are sorted.
+    Sums of sizes per source and bucket of the order tell in which bucket the sample ends; only that
+    bucket's rows are sorted.
     """
+    fits = ordered.where(~F.col("taken") & F.col("pareto").isNotNull() & (F.col("size") <= F.col("open")))
     # odds / (1 + odds) brings the order back to (0, 1)
-    state = ordered.withColumn("place", bucket_of(F.col("pareto") / (1 + F.col("pareto")))).withColumn("extra", F.lit(0))
-    for _ in range(fills + 1):
-        state = stored(_prefix(state, ids), "sampled")
-    return state
-
-
-def _prefix(state: DataFrame, ids: list[Column]) -> DataFrame:
-    fits = (F.col("extra") == 0) & F.col("pareto").isNotNull() & (F.col("size") <= F.col("open"))
-    sums = state.where(fits).groupBy("stratum", "place", "open").agg(F.sum("size").alias("place_size"))
-    reach = F.sum("place_size").over(Window.partitionBy("stratum").orderBy("place"))
-    ends = sums.withColumn("reach", reach).groupBy("stratum").agg(
-        F.min(F.when(F.col("reach") > F.col("open"), F.struct("place", (F.col("reach") - F.col("place_size")).alias("before")))).alias("end"),
-        F.max("reach").alias("all_size"),
-    )
-    marked = state.join(ends, "stratum", "left").withColumn("fits", fits)
-    in_end = F.coalesce(F.col("fits") & (F.col("place") == F.col("end.place")), F.lit(False))
-    front = F.coalesce(F.col("fits") & (F.col("end").isNull() | (F.col("place") < F.col("end.place"))), F.lit(False))
-    edge = marked.where(in_end).withColumn(
-        "run",
-        F.sum("size").over(
-            Window.partitionBy("stratum").orderBy("pareto", *ids, "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = fits.select("stratum", "size", "pareto", "open", bucket_of(F.col("pareto") / (1 + F.col("pareto"))).alias("place"))
+    sums = fits.groupBy("stratum", "place", "open").agg(F.sum("size").alias("here"), F.max("pareto").alias("last_here"))
+    reach = F.sum("here").over(Window.partitionBy("stratum").orderBy("place"))
+    beyond = F.col("reach") > F.col("open")
+    ends = _per_source(
+        sums.withColumn("reach", reach)
+        .groupBy("stratum")
+        .agg(
+            F.min(F.when(beyond, F.col("place"))).alias("end"),
+            F.coalesce(F.max(F.when(~beyond, F.col("reach"))), F.lit(0)).alias("before"),
+            F.max(F.when(~beyond, F.col("last_here"))).alias("last_before"),
         ),
-    ).withColumn("taken_here", (F.col("end.before") + F.col("run") <= F.col("open")).cast("int"))
-    rest = marked.where(~in_end).withColumn("run", F.lit(None).cast("long")).withColumn("taken_here", front.cast("int"))
-    used = edge.groupBy("stratum").agg(F.max(F.when(F.col("taken_here") == 1, F.col("run"))).alias("used"))
-    spent = ends.join(used, "stratum", "left").select(
+        "ends",
+    )
+    run = F.col("before") + F.sum("size").over(Window.partitionBy("stratum").orderBy("pareto"))  # with ties
+    edge = fits.join(ends, "stratum").where("place = end").withColumn("run", run).where("run <= open")
+    inside = edge.groupBy("stratum").agg(F.max("run").alias("run"), F.max("pareto").alias("last_inside"))
+    found = ends.join(inside, "stratum", "left").select(
         "stratum",
-        F.coalesce(
-            F.when(F.col("end").isNull(), F.col("all_size")).otherwise(F.col("end.before") + F.coalesce("used", F.lit(0))),
-            F.lit(0),
-        ).alias("spent"),
+        F.coalesce("run", "before").alias("spent"),
+        F.coalesce("last_inside", "last_before", F.lit(-1.0)).alias("last"),
     )
+    cut = F.struct(F.col("open").alias("most"), F.coalesce("last", F.lit(-1.0)).alias("last"))
     return (
-        edge.unionByName(rest)
-        .join(spent, "stratum", "left")
-        .withColumn("extra", F.col("extra") + F.col("taken_here"))
-        .withColumn("open", F.col("open") - F.coalesce(F.col("spent"), F.lit(0)))
-        .drop("end", "all_size", "fits", "run", "taken_here", "spent")
+        plan.join(found, "stratum", "left")
+        .withColumn("cuts", F.concat("cuts", F.array(cut)))
+        .withColumn("open", F.col("open") - F.coalesce("spent", F.lit(0)))
+        .drop("spent", "last")
     )
 
 
 def mixed(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken. Columns as in ``docs``.
-
-    The rows are written once with a number each; only numbers, ids, sources and sizes go through
-    the sampling, and the texts join what was taken.
-    """
-    numbered = stored(carried(docs).withColumn("row_number", F.monotonically_increasing_id()), "numbered")
-    row = lambda name: F.col(f"{ROW}.`{name}`")
-    narrow = numbered.select("row_number", row("doc_id").alias("doc_id"), row("source").alias("source"), words(row(text_column)).alias("n"))
-    taken = sample_copies(narrow, F.col("n"), **options).where("copies > 0").select("row_number", "copies")
-    repeated = numbered.join(taken, "row_number").select(ROW, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
-    return unpacked(repeated, docs.columns)
+    """The mix itself: rows of ``docs``, each as often as it is taken. Columns as in ``docs``."""
+    row = lambda name: F.col(f"{ROW}.`{name}`").alias(name)
+    inside = carried(docs).select(F.col(ROW).alias("document"), row(text_column), row("source"), row("doc_id"))
+    taken = sample_copies(inside, words(F.col(f"`{text_column}`")), **options).where("copies > 0")
+    repeated = taken.select("document", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    return repeated.select(*[F.col(f"document.`{c}`").alias(c) for c in docs.columns])
