@@ -126,4 +126,38 @@ SELECT item_id, rank::INT AS rank, doc_id, score FROM (
 WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op5_block_max_wand": _BM25}
+def _round(number: int) -> str:
+    """One prefix of the Pareto order: what fits the open words and is not taken yet."""
+    before = f"m{number - 1}"
+    return f"""
+f{number} AS (SELECT rid, source, size, pareto, sum(size) OVER (PARTITION BY source ORDER BY pareto) AS run, open
+  FROM {before} WHERE NOT taken AND pareto IS NOT NULL AND size <= open),
+c{number} AS (SELECT source, max(pareto) AS cut, max(run) AS spent FROM f{number} WHERE run <= open GROUP BY source),
+m{number} AS (SELECT rid, doc_id, m.source, size, source_size, target, whole, pareto, open - coalesce(spent, 0) AS open,
+    taken OR coalesce(size <= open AND pareto <= cut, false) AS taken
+  FROM {before} m LEFT JOIN c{number} c ON m.source IS NOT DISTINCT FROM c.source)"""
+
+
+_MIX = rf"""
+WITH sized AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    (CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0 AS u
+  FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w,
+  2e0 * source_size AS full_size FROM sources),
+levels AS (SELECT *, (1.5e0 * sum(source_size) OVER () - coalesce(sum(full_size) OVER (
+    ORDER BY full_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
+  / sum(w) OVER (ORDER BY full_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+goals AS (SELECT source, source_size, least(full_size, coalesce((SELECT level FROM levels WHERE level <= full_size / w
+  ORDER BY full_size / w, source NULLS LAST LIMIT 1) * w, full_size)) AS target FROM levels),
+rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0e0 END AS rate FROM goals),
+m0 AS (SELECT rid, doc_id, s.source, size, source_size, target, floor(rate) AS whole,
+    CASE WHEN rate > floor(rate) THEN u / (1 - u) / ((rate - floor(rate)) / (1 - (rate - floor(rate))) * sqrt(CAST(greatest(size, 1) AS DOUBLE))) END
+      AS pareto, target - floor(rate) * source_size AS open, false AS taken
+  FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
+{_round(1)}, {_round(2)}, {_round(3)}
+SELECT doc_id, source, size, source_size, target, CAST((whole + CAST(taken AS INT)) * size AS BIGINT) AS taken FROM m3
+"""
+
+ORACLES: dict[str, str] = {"op5_block_max_wand": _BM25, "op10_pareto_mix": _MIX}
