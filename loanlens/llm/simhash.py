@@ -159,10 +159,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return unpacked(_joined(marked, id_column, radius), docs.columns, "fp", "component_id")
 
 
-def _joined(marked: DataFrame, id_column: str, radius: int) -> DataFrame:
+def _joined(marked: DataFrame, id_column: str, radius: int, linked: DataFrame | None = None) -> DataFrame:
     ids = stored(marked.select(F.col(f"{ROW}.`{id_column}`").alias("id"), "fp"), "fingerprints")
     nodes = stored(ids.groupBy("fp").agg(F.min("id").alias("smallest")), "nodes")
-    found = components(links(nodes.select("fp"), radius))
+    found = components(links(nodes.select("fp"), radius) if linked is None else linked)
     placed = nodes.join(found, nodes.fp == found.node, "left").select(
         "fp", "smallest", F.coalesce("component", "fp").alias("root")
     )
@@ -185,11 +185,12 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Of several rows with that id, the one whose other columns come first. Columns as in ``docs``.
     """
     marked = carried(docs).withColumn("fp", fingerprint(F.col(f"{ROW}.`{text_column}`")))
-    return _representatives(stored(marked, "marked"), docs.columns, id_column)
+    return representatives(stored(marked, "marked"), docs.columns, id_column)
 
 
-def _representatives(marked: DataFrame, columns: list[str], id_column: str) -> DataFrame:
-    joined = _joined(marked, id_column, RADIUS)
+def representatives(marked: DataFrame, columns: list[str], id_column: str, linked: DataFrame | None = None) -> DataFrame:
+    """The row with the smallest id of each group, from rows carried with ``fp``; ``linked`` replaces the search for links."""
+    joined = _joined(marked, id_column, RADIUS, linked)
     first = joined.where(F.col(f"{ROW}.`{id_column}`").eqNullSafe(F.col("component_id")))
     one = first.groupBy("root").agg(F.min(ROW).alias(ROW))
     return unpacked(one, columns)
