@@ -17,11 +17,11 @@ from loanlens.session import stored
 COSINE = 0.9
 #: Different vectors per cell aimed at, most cells, and sampled vectors per cell for the fit.
 PER_CELL, MOST_CELLS, SAMPLED_PER_CELL = 512, 4096, 16
-#: Cells a vector is compared in: its nearest ones.
-NEAREST = 3
 ROUNDS = 8
 #: Vectors on either side of one product.
 BLOCK = 1024
+#: Vectors, and numbers in them, on either side of a task's work: how often a vector is sent, not what is compared.
+SIDE, SIDE_NUMBERS = 8192, 1 << 21
 
 
 def unit_rows(vectors: pd.Series, width: int) -> np.ndarray:
@@ -60,14 +60,15 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, n_links, component_id, kept`` for every row.
 
-    Equal vectors are one node with its number of rows. Nodes are compared in their NEAREST cells,
-    and a pair that shares several counts in the first. Cells come from a fit on a sample of
-    SAMPLED_PER_CELL vectors for each of at most MOST_CELLS cells, drawn by a digest of the vector.
-    Every link found has a cosine of ``least`` or more in double precision; a link between vectors
-    that share none of their cells is missed (tests hold the recall).
+    Equal vectors are one node with its number of rows. Every pair with a cosine of ``least`` or
+    more in double precision is a link. Cells come from a fit on a sample of SAMPLED_PER_CELL
+    vectors for each of at most MOST_CELLS cells, drawn by a digest of the vector, and only spare
+    comparisons: a vector is in the cell of its nearest centre, and meets those of every cell that
+    a vector within ``least`` of it can be in (``_reach``). Vectors without clusters reach all
+    cells, so that every pair is compared.
 
-    A cell of any size is cut into blocks, and each pair of blocks is a task's work: its product
-    adds to the counts and leaves a spanning set of its links. Vectors that are null, empty, zero
+    Cells are put together to groups, groups of any size are cut into blocks, and each pair of
+    blocks is a task's work: its product adds to the counts and leaves a spanning set of its links. Vectors that are null, empty, zero
     or not finite link with nothing and stand for themselves. Vectors of other widths are taken as
     ending in zeros. Null ids are counted as links but are no component.
     """
@@ -109,27 +110,35 @@ def _links(nodes: DataFrame, number: int, width: int, least: float) -> DataFrame
     sample = nodes.orderBy("digest", "smallest").select("vector").limit(SAMPLED_PER_CELL * cells).toPandas()["vector"]
     centres = context.broadcast(spherical_kmeans(unit_rows(sample, width), min(cells, len(sample))))
 
+    side = max(BLOCK, min(SIDE, SIDE_NUMBERS // max(1, width)))
+    together = max(1, side // PER_CELL)
+
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            nearness = unit_rows(frame["vector"], width) @ centres.value.T
-            most = min(NEAREST, nearness.shape[1])
-            near = np.sort(np.argpartition(-nearness, most - 1, axis=1)[:, :most], axis=1)
-            yield frame.assign(cells=list(near.astype(np.int32)))
+            for at in range(0, len(frame), BLOCK):
+                part = frame.iloc[at : at + BLOCK]
+                home, reached = _reach(unit_rows(part["vector"], width), centres.value, least)
+                groups = [np.unique(np.flatnonzero(r) // together).astype(np.int32) for r in reached]
+                yield part.assign(home=(home // together).astype(np.int32), groups=groups)
 
-    schema = "node long, vector array<double>, copies long, cells array<int>"
+    schema = "node long, vector array<double>, copies long, home int, groups array<int>"
     assigned = stored(nodes.select("node", "vector", "copies").mapInPandas(assign, schema), "assigned")
-    spread = assigned.select("*", F.explode("cells").alias("cell"))
-    sizes = assigned.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    blocked = spread.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    # a block meets itself and all others of its cell
-    paired = blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = paired.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    sizes = assigned.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / side).alias("blocks"))
+    own = assigned.join(F.broadcast(sizes), "home").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).drop("blocks")
+    met = own.withColumn("group", F.explode("groups")).join(F.broadcast(sizes.withColumnRenamed("home", "group")), "group")
+    # a vector meets all blocks of a group that it reaches
+    paired = met.withColumn("other_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    mine, other = F.struct(F.col("home").alias("group"), "block"), F.struct("group", F.col("other_block").alias("block"))
+    sided = paired.withColumn("mine", mine).withColumn("other", other).withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
+    placed = sided.select(
+        "node", "vector", "copies", (F.col("mine") == F.col("low")).alias("is_low"), (F.col("mine") == F.col("high")).alias("is_high"),
+        F.col("low.group").alias("low_group"), F.col("low.block").alias("low_block"), F.col("high.group").alias("high_group"), F.col("high.block").alias("high_block"),
+    )
 
     def product(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        cell, low, high = key
         frame = frame.sort_values("node")
-        left, right = frame[frame["block"] == low], frame[frame["block"] == high]
-        a, b = _linked(left, right, cell, width, least, low == high)
+        left, right = frame[frame["is_low"]], frame[frame["is_high"]]
+        a, b = _linked(unit_rows(left["vector"], width), unit_rows(right["vector"], width), least, key[:2] == key[2:])
         nodes_, copies = frame["node"].to_numpy(), frame["copies"].to_numpy()
         at_a = np.searchsorted(nodes_, left["node"].to_numpy())[a]
         at_b = np.searchsorted(nodes_, right["node"].to_numpy())[b]
@@ -145,14 +154,29 @@ def _links(nodes: DataFrame, number: int, width: int, least: float) -> DataFrame
             }
         )
 
-    return placed.groupBy("cell", "low", "high").applyInPandas(product, "a long, b long, n long")
+    return placed.groupBy("low_group", "low_block", "high_group", "high_block").applyInPandas(product, "a long, b long, n long")
 
 
-def _linked(left: pd.DataFrame, right: pd.DataFrame, cell: int, width: int, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked pairs, each pair once, whose first common cell is ``cell``."""
-    cosines = unit_rows(left["vector"], width) @ unit_rows(right["vector"], width).T
-    a, b = np.nonzero(np.triu(cosines >= least, 1) if same else cosines >= least)
-    cells_a, cells_b = np.stack(left["cells"])[a], np.stack(right["cells"])[b]
-    shared = (cells_a[:, :, None] == cells_b[:, None, :]).any(axis=2) & (cells_a < cell)
-    first = ~shared.any(axis=1)
-    return a[first], b[first]
+def _reach(rows: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row, and the centres that may be the nearest of a row within ``least`` of it.
+
+    Let h be the nearest centre of x, and c that of y. Then y(h - c) <= 0, so x(h - c) is at most
+    |x - y| |h - c|, and a cosine of ``least`` is a distance |x - y| of sqrt(2 - 2 least).
+    """
+    nearness = rows @ centres.T
+    home = nearness.argmax(axis=1)
+    apart = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 0))
+    short = nearness[np.arange(len(rows)), home][:, None] - nearness
+    return home, short <= np.sqrt(2 - 2 * least) * apart[home] + 1e-6  # more than rounding can take
+
+
+def _linked(left: np.ndarray, right: np.ndarray, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of linked pairs, each pair once."""
+    found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for low in range(0, len(left), BLOCK):
+        for high in range(low if same else 0, len(right), BLOCK):
+            near = left[low : low + BLOCK] @ right[high : high + BLOCK].T >= least
+            a, b = np.nonzero(np.triu(near, 1) if same and low == high else near)
+            found_a.append(a + low)
+            found_b.append(b + high)
+    return np.concatenate(found_a), np.concatenate(found_b)
