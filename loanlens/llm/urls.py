@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from loanlens.session import stored
 
-#: Longest word of a name, and longest run of letters that is taken for a name (a host label has 63 at most).
-WORD, NAME = 20, 63
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 # Words that mark a URL as an example of what to block when the classifier is trained.
 SEEDS = ("adult", "ads", "bets", "casino", "lottery", "pills", "poker", "porn", "spam", "viagra", "xxx")
@@ -49,7 +47,7 @@ def word_counts(pages: DataFrame) -> DataFrame:
     """``word, n`` over the visible text of all pages."""
     text = F.lower(F.regexp_replace("html", "<[^>]*>", " "))
     found = pages.select(F.explode(F.regexp_extract_all(text, F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    return found.where(F.length("word") <= WORD).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def names(host_: Column, path_: Column) -> Column:
@@ -61,19 +59,28 @@ def names(host_: Column, path_: Column) -> Column:
 def viterbi(name: str, found: dict[tuple[int, int], int], total: int) -> list[str]:
     """The likeliest words of ``name``.
 
-    ``found``: counts of its parts by start and length. A part that is no word counts a tenth of a
+    ``found``: counts of its parts by start and length. A part of any length that is no word counts a tenth of a
     word seen once for each letter. Of equally likely ways the one with fewer words, then with the
     longer last word.
     """
     best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
+    ending: dict[int, list[tuple[int, int]]] = {}
+    for (start, size), count in found.items():
+        ending.setdefault(start + size, []).append((start, count))
+    letter, unknown = math.log(10), -math.log(max(total, 1))
+    open_ = (0.0, 0, 0)  # the best start of a part that is no word, the same for all ends
     for end in range(1, len(name) + 1):
-        ways = []
-        for start in range(max(0, end - WORD), end):
-            count = found.get((start, end - start))
-            likely = math.log(count / total) if count else -math.log(max(total, 1)) - (end - start) * math.log(10)
-            ways.append((round(best[start][0] + likely, 9), best[start][1] - 1, -start))
+        known = ending.get(end, [])
+        ways = [(round(best[start][0] + math.log(count / total), 9), best[start][1] - 1, -start) for start, count in known]
+        ahead, fewer, back = open_
+        if (-back, end + back) not in found:
+            ways.append((round(ahead + unknown - end * letter, 9), fewer - 1, back))
+        else:  # a word, which may be less likely than the same letters as none
+            starts = (s for s in range(end) if (s, end - s) not in found)
+            ways += [(round(best[s][0] + unknown - (end - s) * letter, 9), best[s][1] - 1, -s) for s in starts]
         score, fewer, start = max(ways)
         best.append((score, fewer, -start))
+        open_ = max(open_, (round(score + end * letter, 9), fewer, -end))
     words, end = [], len(name)
     while end:
         start = best[end][2]
@@ -85,13 +92,14 @@ def viterbi(name: str, found: dict[tuple[int, int], int], total: int) -> list[st
 def segmented(found_names: DataFrame, counts: DataFrame) -> DataFrame:
     """``name, words`` for distinct ``name``: only parts of names are looked up among the counts.
 
-    Runs longer than NAME letters are no concatenated names and stay one word, as numbers do.
+    A part is as long as the longest counted word at most, so a long run stays linear. Numbers stay
+    one word.
     """
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    whole = (F.length("name") > NAME) | (F.col("name") == NUMBER)
+    total, longest = (n or 0 for n in counts.agg(F.sum("n"), F.max(F.length("word"))).first())
+    whole = F.col("name") == NUMBER
     starts = F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at")
     sized = found_names.where(~whole).select("name", starts).select(
-        "name", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(WORD), F.length("name") - F.col("at") + 1))).alias("size")
+        "name", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(1, longest)), F.length("name") - F.col("at") + 1))).alias("size")
     )
     parts = sized.withColumn("word", F.substring("name", F.col("at"), F.col("size")))
     known = parts.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("at", "size", "n")).alias("parts"))

@@ -61,3 +61,11 @@ def test_words_of_examples_are_learned(spark):
     got = {r["page_id"]: r["verdict"] for r in urls.judged(pages).collect()}
     assert [got[i] for i in range(42)] == ["block"] * 20 + ["allow"] * 20 + ["block", "allow"]
     assert pages.select(F.explode(urls.names(F.lit("a-b12.com"), F.lit("/C"))).alias("n")).limit(5).count() == 5
+
+
+@pytest.mark.parametrize("words", [["casino", "news"] * 8, ["donaudampfschifffahrtsgesellschaft", "news"], ["q" * 30]])
+def test_words_and_names_of_any_length(spark, words):
+    html = "<p>casino news donaudampfschifffahrtsgesellschaft donau dampf schifffahrt gesellschaft</p>"
+    pages = spark.createDataFrame([(0, "http://x.com/", html)], "page_id long, url string, html string")
+    name = spark.createDataFrame([("".join(words),)], "name string")
+    assert urls.segmented(name, urls.word_counts(pages)).first()["words"] == words
