@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,3 +65,8 @@ def kept_by_worker(name: str) -> dict:
     """What a Python worker process keeps from one task to the next, for caches that decide no result."""
     module = sys.modules.setdefault("_loanlens_kept", types.ModuleType("_loanlens_kept"))
     return vars(module).setdefault(name, {})
+
+
+def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a folder that all executors reach, and the folder's path in it."""
+    return pyarrow.fs.FileSystem.from_uri(uri)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import embeddings, mixing, packing, pii, quality, search, sharding, simhash, urls, warc
+from loanlens.llm import divergence, embeddings, mixing, packing, pii, planes, quality, search, sharding, simhash, urls, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEY = "demonstration"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,6 +91,20 @@ def op10_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    target = planes.new_folder(spark)
+    index = planes.write_shards(_read(spark, folder, "documents"), target, tokenizer_path("byte_bpe_50k.json"))
+    return planes.read_documents(index, target)
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_read(spark, folder, "documents"))
+
+
+def op13_qdwh_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_interleaved_shards": op1_interleaved_shards,
     "op2_kmeans_cells": op2_kmeans_cells,
@@ -102,6 +116,9 @@ QUERIES: dict[str, Query] = {
     "op8_complement_packing": op8_complement_packing,
     "op9_simhash_balls": op9_simhash_balls,
     "op10_pareto_mix": op10_pareto_mix,
+    "op11_bit_planes": op11_bit_planes,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_qdwh_whitening": op13_qdwh_whitening,
 }
 
 # Runs of letters A-Z (lowered), digits and characters beyond ASCII are terms.
@@ -160,4 +177,34 @@ m0 AS (SELECT rid, doc_id, s.source, size, source_size, target, floor(rate) AS w
 SELECT doc_id, source, size, source_size, target, CAST((whole + CAST(taken AS INT)) * size AS BIGINT) AS taken FROM m3
 """
 
-ORACLES: dict[str, str] = {"op5_block_max_wand": _BM25, "op10_pareto_mix": _MIX}
+# Every kept term meets every group of its language, also those without it.
+_DIVERGENCE = r"""
+WITH tokens AS (
+  SELECT rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS rid FROM documents)),
+kept AS (SELECT lang, term, count(*) AS total FROM tokens GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+languages AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+counts AS (SELECT lang, source, term, count(*) AS c FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n, l.v,
+    1 + (1000000000::HUGEINT * (k.total + 5)) // (l.n + 5 * l.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN languages l ON g.lang = l.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+rates AS (SELECT *, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v) AS p FROM every),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM rates a JOIN rates b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM rates WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op5_block_max_wand": _BM25, "op10_pareto_mix": _MIX, "op12_source_divergence": _DIVERGENCE}
