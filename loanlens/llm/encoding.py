@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
 
 from loanlens.llm.common import kept_by_worker
 
@@ -90,7 +92,10 @@ class _Encoder:
 
 
 class WordEncoder(_Encoder):
-    """For the lower-casing vocabulary with word ends: texts as UTF-8 bytes to ids, little-endian, the end id last."""
+    """For the lower-casing vocabulary with word ends: texts to ids, the end id last."""
+
+    def __init__(self, path: str, end: int = 1):
+        super().__init__(path, end)
 
     def _learn(self, word: bytes) -> bytes:
         text = word.decode()
@@ -104,9 +109,14 @@ class WordEncoder(_Encoder):
             return self.known[body.encode()] + self.known[low[len(body) :].encode()]
         return self._whole(text)
 
-    def __call__(self, text: bytes | None) -> bytes:
+    def ids(self, text: bytes | None) -> bytes:
+        """The ids of a text in UTF-8, little-endian."""
         return b"".join(map(self.known.__getitem__, (text or b"").split())) + self.end  # at ASCII blanks
 
+    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        for text in texts:
+            yield np.frombuffer(self.ids((text or "").encode()), "<u4")
+
 
 class ByteEncoder(_Encoder):
     """For the byte-level vocabulary: texts to ids, little-endian, the end id last.
@@ -157,7 +167,11 @@ class ByteEncoder(_Encoder):
             return self._whole(held[1:] if held.startswith(self.BARE) else f" {held}")
         return found
 
-    def __call__(self, text: str | None) -> bytes:
+    def __init__(self, path: str, end: int = 0):
+        super().__init__(path, end)
+
+    def ids(self, text: str | None) -> bytes:
+        """The ids of a text, little-endian."""
         if not text:
             return self.end
         words = text.split(" ")

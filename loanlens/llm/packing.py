@@ -6,9 +6,7 @@ sequence. So the plan is made from their counts, and rows only look up their pla
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -19,71 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlens.llm.common import bucket_of, kept_by_worker, ranked
+from loanlens.llm.common import bucket_of, ranked
+from loanlens.llm.encoding import WordEncoder
 from loanlens.session import stored
 
 LENGTH = 4096
-END = 1
-#: Different words and parts whose ids a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
 TEXTS_AT_ONCE = 256
-#: Signs that are split off behind a word. The apostrophe is not: what follows it may be a token with it.
-TAIL = ",.!#$%&*|?;:\"()"
-
-
-class WordEncoder:
-    """Texts to ids, with the end id last.
-
-    The tokenizer never joins what a blank separates, so the ids of a text are those of its
-    words. Words are remembered by the worker process, from one task to the next, and unknown
-    words of several texts are encoded at once. Words that differ in what the tokenizer does not
-    see, or in punctuation it splits off, share the work: see ``parts``.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
-
-        kept = kept_by_worker(f"words of {path}")
-        if "tokenizer" not in kept:
-            kept |= {"tokenizer": Tokenizer.from_file(path), "known": {}}
-        self.tokenizer, self.known = kept["tokenizer"], kept["known"]
-
-    @staticmethod
-    def parts(word: bytes) -> list[str]:
-        """What can be encoded apart: ASCII words in lower case, and punctuation behind a letter or digit.
-
-        The tokenizer splits letters and digits from other signs itself. Its special tokens are
-        found before it lowers, so words with their first signs are left alone, and so are words
-        that end in characters beyond Latin letters.
-        """
-        text = word.decode()
-        if "<|" in text:
-            return [text]
-        if text.isascii():
-            text = text.lower()
-        body = text.rstrip(TAIL)
-        if body == text or not body or not (body[-1].isalnum() and body[-1] < "\u0250"):
-            return [text]
-        return [body, text[len(body) :]]
-
-    def _learn(self, words: list[bytes]) -> None:
-        split = {word: self.parts(word) for word in words}
-        new = [p for p in dict.fromkeys(p for parts in split.values() for p in parts) if p not in self.known]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found, strict=True))
-        for word, parts in split.items():
-            self.known[word] = self.known[parts[0]] if len(parts) == 1 else self.known[parts[0]] + self.known[parts[1]]
-
-    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]  # at ASCII blanks
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn([w for w in set().union(*split) if w not in self.known])
-        for words in split:
-            found = b"".join(map(self.known.__getitem__, words))
-            yield np.frombuffer(found + END.to_bytes(4, "little"), dtype="<u4")
-
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -93,17 +32,29 @@ def pieces(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, length:
 
     Rows of ``doc_id, piece, start, length, ids_crc32``, and the ids themselves if asked for. A
     null or empty text is one piece of the end id alone. Repeated rows are packed like others.
+    Other columns are not read, so none can clash. No rows, no pieces.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer_path)
+        encode = WordEncoder(tokenizer_path).ids
         for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
-            rows = []
-            for doc, tokens in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                for number, at in enumerate(range(0, len(tokens), length)):
-                    part = tokens[at : at + length]
-                    rows.append((doc, number, at, len(part), zlib.crc32(part.tobytes())) + ((part.astype(np.int32),) if with_ids else ()))
-            yield pa.RecordBatch.from_pydict({f.name: [r[i] for r in rows] for i, f in enumerate(arrow)}, schema=arrow)
+            owner, number, starts, sizes, sums, parts = [], [], [], [], [], []
+            for row, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
+                ids = memoryview(encode(text))
+                for piece, at in enumerate(range(0, len(ids), 4 * length)):
+                    part = ids[at : at + 4 * length]
+                    owner.append(row)
+                    number.append(piece)
+                    starts.append(at // 4)
+                    sizes.append(len(part) // 4)
+                    sums.append(zlib.crc32(part))
+                    if with_ids:
+                        parts.append(np.frombuffer(part, "<i4"))
+            columns = [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32())]
+            columns += [pa.array(c, pa.int64()) for c in (starts, sizes, sums)]
+            if with_ids:
+                columns.append(pa.array(parts, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), *T._parse_datatype_string(PIECE).fields])
@@ -115,74 +66,107 @@ def pieces(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, length:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+class SumIndex:
+    """Hash tables from a sum to the single length, the pairs and the triples of lengths that add up to it.
+
+    Pairs are laid out by their sum, the one with the longest first; ``live`` counts those whose
+    lengths are still there. A triple sum is indexed by its longest lengths, each of which leaves an
+    indexed pair sum. Lengths only run out, so what a table holds is checked against the counts
+    when it is asked, and never added to.
+    """
+
+    def __init__(self, counts: dict[int, int], size: int):
+        self.size = size
+        self.count = np.zeros(size + 1, np.int64)
+        self.count[list(counts)] = list(counts.values())
+        self.lengths = np.flatnonzero(self.count)
+        longest = self.lengths[::-1]
+        partners = np.minimum(np.arange(len(longest), 0, -1), np.searchsorted(self.lengths, size - longest, "right"))
+        first = np.repeat(longest, partners).astype(np.int32)
+        ends = np.cumsum(partners)
+        second = self.lengths.astype(np.int32)[np.arange(len(first)) - np.repeat(ends - partners, partners)]
+        total = first + second
+        order = np.argsort(total, kind="stable")  # keeps the longest first
+        self.first, self.starts = first[order], np.searchsorted(total[order], np.arange(size + 2))
+        there = (first != second) | (self.count[first] > 1)
+        self.live = np.bincount(total[there], minlength=size + 1)
+        self.triples: dict[int, np.ndarray] = {}
+
+    def take(self, length: int, times: int) -> None:
+        before, after = self.count[length], self.count[length] - times
+        self.count[length] = after
+        if before > 1 >= after and 2 * length <= self.size:
+            self.live[2 * length] -= 1
+        if before > 0 >= after:
+            others = self.lengths[(self.lengths <= self.size - length) & (self.lengths != length)]
+            self.live[length + others[self.count[others] > 0]] -= 1
+
+    def single(self, total: int) -> tuple[int, ...] | None:
+        return (total,) if 0 < total and self.count[total] > 0 else None
+
+    def pair(self, total: int) -> tuple[int, ...] | None:
+        if total < 2 or not self.live[total]:
+            return None
+        first = self.first[self.starts[total] : self.starts[total + 1]]
+        second = total - first
+        there = np.flatnonzero((self.count[first] > (first == second)) & (self.count[second] > 0))
+        return (int(first[there[0]]), int(second[there[0]])) if len(there) else None
+
+    def triple(self, total: int) -> tuple[int, ...] | None:
+        if total < 3:
+            return None
+        if total not in self.triples:
+            longest = self.lengths[self.lengths <= total - 2][::-1]
+            rest = total - longest
+            self.triples[total] = longest[(self.starts[rest + 1] > self.starts[rest]) & (3 * longest >= total)]
+        longest = self.triples[total]
+        for length in longest[(self.count[longest] > 0) & (self.live[total - longest] > 0)].tolist():
+            self.count[length] -= 1  # while its pair is looked up
+            found = self.pair(total - length)
+            self.count[length] += 1
+            if found:
+                return (length, *found)
+        return None
+
+
 class Plan:
     """Patterns of lengths with how often each is used, from the counts of lengths.
 
-    Longest first, each length is completed by one, two or three lengths that fill the sequence
-    exactly, as often as all of them are there. What has no exact complement is put, longest first,
-    into the fullest open sequence where it fits; equal sequences are handled as one with a count,
-    so the work depends on the different lengths and not on the rows.
+    Longest first, each length's gap is looked up among the single, pair and triple sums of what is
+    there, and the combination found fills sequences exactly, as often as all of it lasts. What has
+    no exact complement is put, longest first, into the fullest open sequence where it fits; equal
+    sequences are handled as one with a count, so the work depends on the different lengths and not
+    on the rows.
     """
 
     def __init__(self, counts: dict[int, int], size: int = LENGTH):
         self.size = size
-        self.left = {n: c for n, c in counts.items() if c}
-        self.lengths = sorted(self.left)
         self.patterns: list[tuple[tuple[int, ...], int]] = []
         rest: list[tuple[int, int]] = []
-        for n in sorted(self.left, reverse=True):
-            while self.left.get(n):
-                combination = self._complement(n)
+        index = SumIndex({n: c for n, c in counts.items() if c}, size)
+        for n in index.lengths[::-1].tolist():
+            while index.count[n]:
+                combination = self._complement(index, n)
                 if combination is None:
-                    rest.append((n, self.left[n]))
-                    self.left[n] = 0
+                    rest.append((n, int(index.count[n])))
+                    index.take(n, int(index.count[n]))
                 else:
-                    self._use(combination)
+                    need = {m: combination.count(m) for m in combination}
+                    times = min(int(index.count[m]) // k for m, k in need.items())
+                    for m, k in need.items():
+                        index.take(m, times * k)
+                    self.patterns.append((combination, times))
         self._best_fit(rest)
 
-    def _use(self, combination: tuple[int, ...]) -> None:
-        need = {n: combination.count(n) for n in combination}
-        times = min(self.left[n] // k for n, k in need.items())
-        for n, k in need.items():
-            self.left[n] -= times * k
-        self.patterns.append((combination, times))
-
-    def _there(self, *lengths: int) -> bool:
-        return all(self.left.get(n, 0) >= lengths.count(n) for n in lengths)
-
-    def _complement(self, n: int) -> tuple[int, ...] | None:
-        """Lengths that fill a sequence with ``n`` exactly: none, one, two or three more."""
+    def _complement(self, index: SumIndex, n: int) -> tuple[int, ...] | None:
+        """``n`` and the one, two or three lengths that fill a sequence with it exactly."""
         gap = self.size - n
-        if gap == 0:
+        if not gap:
             return (n,)
-        if self._there(n, gap):
-            return (n, gap)
-        available = self._available(min(n, gap))
-        if 3 * min(n, gap) < gap or not len(available):
-            return None
-        if pair := self._pair(n, gap, available):
-            return pair
-        present = np.zeros(self.size + 1, bool)
-        present[available] = True
-        for first in available[::-1].tolist():
-            others = available[available <= min(first, gap - first)]
-            hits = others[present[gap - first - others]] if len(others) else others
-            for second in hits.tolist():
-                third = gap - first - second
-                if third > 0 and self._there(n, first, second, third):
-                    return (n, first, second, third)
-        return None
-
-    def _available(self, most: int) -> np.ndarray:
-        return np.array([m for m in self.lengths[: bisect_right(self.lengths, most)] if self.left[m]], dtype=np.int64)
-
-    def _pair(self, n: int, gap: int, available: np.ndarray) -> tuple[int, ...] | None:
-        for first in available[::-1].tolist():
-            if 2 * first < gap:
-                break
-            if first < gap and self._there(n, first, gap - first):
-                return (n, first, gap - first)
-        return None
+        index.count[n] -= 1
+        found = index.single(gap) or index.pair(gap) or index.triple(gap)
+        index.count[n] += 1
+        return (n, *found) if found else None
 
     def _best_fit(self, rest: list[tuple[int, int]]) -> None:
         """Open sequences by gap, those with equal contents as one with a count."""
@@ -240,12 +224,15 @@ class Plan:
 
 
 def placed(cut: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces (``doc_id, piece, length``, other columns stay).
+    """Add ``sequence_id`` and ``offset`` to pieces (``doc_id, piece, length, place``, other columns but ``place`` stay).
+
+    ``place`` is any number that tells repeated rows apart and stays the same when the rows are read again.
 
     Pieces of one length are interchangeable; they take the plan's places by rank. The driver sees
     the counts of at most ``length`` different lengths and makes a plan whose number of lines is
     bounded by them; it is broadcast.
     """
+    kept = [c for c in cut.columns if c != "place"]
     counts = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = Plan(counts, length).table().sort_values(["length", "first"], kind="stable")
     places = {int(n): tuple(g[c].to_numpy() for c in ("first", "sequence", "offset")) for n, g in plan.groupby("length")}
@@ -262,12 +249,15 @@ def placed(cut: DataFrame, length: int = LENGTH) -> DataFrame:
             made[1, rows] = offset[at]
         return pd.DataFrame({"sequence_id": made[0], "offset": made[1]})
 
-    even = F.shiftrightunsigned(F.xxhash64("doc_id", "piece"), 11).cast("double") / F.lit(float(2**53))
-    numbered = ranked(cut, ["length"], [F.xxhash64("doc_id", "piece"), "doc_id", "piece"], bucket_of(even), "rank_here", "of_length")
+    # the row's place spreads repeated ids, too
+    key = F.xxhash64("doc_id", "piece", "place")
+    even = F.shiftrightunsigned(key, 11).cast("double") / F.lit(float(2**53))
+    numbered = ranked(cut, ["length"], [key, "doc_id", "piece", "place"], bucket_of(even), "rank_here", "of_length")
     # signed order within a bucket differs from that of the buckets, which a rank does not mind
-    return numbered.withColumn("place", place("length", "rank_here")).select(*cut.columns, "place.sequence_id", "place.offset")
+    return numbered.withColumn("placed", place("length", "rank_here")).select(*kept, "placed.sequence_id", "placed.offset")
 
 
 def packed(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``pieces`` of the documents with their places. The texts are read once."""
-    return placed(stored(pieces(docs, tokenizer_path), "pieces"))
+    cut = pieces(docs, tokenizer_path).withColumn("place", F.monotonically_increasing_id())
+    return placed(stored(cut, "pieces"))

@@ -161,7 +161,7 @@ def _write(folder: str, tokenizer_path: str, schema: T.StructType, kind: str, bl
             writer = writer or ShardWriter(system.open_output_stream(f"{path}/{name}", compression=None), kind, block)
             starts, lengths = [], []
             for text in batch.column(1).to_pylist():
-                ids = np.frombuffer(encode(text), "<u4")
+                ids = np.frombuffer(encode.ids(text), "<u4")
                 writer.append(ids)
                 starts.append(start)
                 lengths.append(len(ids))

@@ -12,8 +12,13 @@ from loanlens.llm import divergence, embeddings, mixing, packing, pii, planes, q
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-#: The key of the demonstration; a real one comes from a secret store.
-KEY = "demonstration"
+#: The setting that names the key of the pseudonyms. Its value comes from a secret store; without it, as in tests and
+#: demonstrations on invented people, the key is a public word.
+KEY_SETTING, PUBLIC_KEY = "spark.loanlens.pseudonym.key", "demonstration"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, PUBLIC_KEY)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -61,7 +66,7 @@ def op5_block_max_wand(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
-    changed = pii.pseudonymized(docs.withColumn("before", F.col("text")), KEY)
+    changed = pii.pseudonymized(docs.withColumn("before", F.col("text")), pseudonym_key(spark))
     return changed.select("doc_id", "text", (~F.col("text").eqNullSafe(F.col("before"))).alias("changed"))
 
 
@@ -144,15 +149,17 @@ WHERE rank <= 10
 """
 
 def _round(number: int) -> str:
-    """One prefix of the Pareto order: what fits the open words and is not taken yet."""
+    """One prefix of the Pareto order: what fits the open words and is not taken yet. Equal rows come in any order."""
     before = f"m{number - 1}"
     return f"""
-f{number} AS (SELECT rid, source, size, pareto, sum(size) OVER (PARTITION BY source ORDER BY pareto) AS run, open
+f{number} AS (SELECT rid, source, open,
+    sum(size) OVER (PARTITION BY source ORDER BY pareto, size, rid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
   FROM {before} WHERE NOT taken AND pareto IS NOT NULL AND size <= open),
-c{number} AS (SELECT source, max(pareto) AS cut, max(run) AS spent FROM f{number} WHERE run <= open GROUP BY source),
-m{number} AS (SELECT rid, doc_id, m.source, size, source_size, target, whole, pareto, open - coalesce(spent, 0) AS open,
-    taken OR coalesce(size <= open AND pareto <= cut, false) AS taken
-  FROM {before} m LEFT JOIN c{number} c ON m.source IS NOT DISTINCT FROM c.source)"""
+t{number} AS (SELECT rid, true AS fits FROM f{number} WHERE run <= open),
+c{number} AS (SELECT source, max(run) AS spent FROM f{number} WHERE run <= open GROUP BY source),
+m{number} AS (SELECT m.rid, doc_id, m.source, size, source_size, target, whole, pareto, open - coalesce(spent, 0) AS open,
+    taken OR coalesce(fits, false) AS taken
+  FROM {before} m LEFT JOIN t{number} t ON m.rid = t.rid LEFT JOIN c{number} c ON m.source IS NOT DISTINCT FROM c.source)"""
 
 
 _MIX = rf"""

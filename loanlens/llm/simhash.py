@@ -29,6 +29,8 @@ RADIUS = 4
 SHINGLES_AT_ONCE = 1 << 15
 #: Variants compared at a time in a task.
 VARIANTS_AT_ONCE = 1 << 21
+#: Up to so many row numbers are sent to all executors; a hash table of them has some 50 MB.
+BROADCAST_ROWS = 1 << 21
 
 
 def simhash(text: str | None, words_each: int = SHINGLE_WORDS) -> int:
@@ -156,41 +158,47 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     fingerprints are one node, so a group of copies of any size is one row in the search.
     """
     marked = carried(docs).withColumn("fp", fingerprint(F.col(f"{ROW}.`{text_column}`")))
-    return unpacked(_joined(marked, id_column, radius), docs.columns, "fp", "component_id")
+    narrow = stored(marked.select(F.col(f"{ROW}.`{id_column}`").alias("id"), "fp"), "fingerprints")
+    return unpacked(marked.join(_classes(narrow, radius), "fp"), docs.columns, "fp", "component_id")
 
 
-def _joined(marked: DataFrame, id_column: str, radius: int, linked: DataFrame | None = None) -> DataFrame:
-    ids = stored(marked.select(F.col(f"{ROW}.`{id_column}`").alias("id"), "fp"), "fingerprints")
+def _classes(ids: DataFrame, radius: int) -> DataFrame:
+    """``fp, root, component_id`` of every fingerprint among the written rows ``id, fp``."""
     nodes = stored(ids.groupBy("fp").agg(F.min("id").alias("smallest")), "nodes")
-    found = components(links(nodes.select("fp"), radius) if linked is None else linked)
+    found = components(links(nodes.select("fp"), radius))
     placed = nodes.join(found, nodes.fp == found.node, "left").select(
         "fp", "smallest", F.coalesce("component", "fp").alias("root")
     )
     named = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    classes = placed.join(named, "root").select("fp", "root", "component_id")
-    return marked.join(stored(classes, "classes"), "fp")
+    return stored(placed.join(named, "root").select("fp", "root", "component_id"), "classes")
 
 
 def with_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column, fp, component_id`` without the texts, which are read once."""
-    only = docs.select(id_column, text_column)
-    marked = only.select(F.struct(id_column).alias(ROW), fingerprint(text_column).alias("fp"))
-    narrow = stored(marked, "fingerprints")
-    return _joined(narrow, id_column, RADIUS).select(f"{ROW}.{id_column}", "fp", "component_id")
+    narrow = stored(docs.select(F.col(id_column).alias("id"), fingerprint(text_column).alias("fp")), "fingerprints")
+    return narrow.join(_classes(narrow, RADIUS), "fp").select(F.col("id").alias(id_column), "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Of several rows with that id, the one whose other columns come first. Columns as in ``docs``.
-    """
-    marked = carried(docs).withColumn("fp", fingerprint(F.col(f"{ROW}.`{text_column}`")))
-    return representatives(stored(marked, "marked"), docs.columns, id_column)
-
+    Rows with an id come before rows without. Of several rows with that id it is the one whose
+    other columns have the smallest digest, so that reruns agree. Columns as in ``docs``; none can
+    clash. No rows, none kept.
 
-def representatives(marked: DataFrame, columns: list[str], id_column: str, linked: DataFrame | None = None) -> DataFrame:
-    """The row with the smallest id of each group, from rows carried with ``fp``; ``linked`` replaces the search for links."""
-    joined = _joined(marked, id_column, RADIUS, linked)
-    first = joined.where(F.col(f"{ROW}.`{id_column}`").eqNullSafe(F.col("component_id")))
-    one = first.groupBy("root").agg(F.min(ROW).alias(ROW))
-    return unpacked(one, columns)
+    Groups are told on numbers alone. The rows are written once with their numbers, and those that
+    go are taken out where they lie: their numbers are sent to all executors up to BROADCAST_ROWS,
+    and joined beyond that.
+    """
+    row = lambda name: F.col(f"{ROW}.`{name}`")
+    marked = carried(docs).select(
+        ROW, fingerprint(row(text_column)).alias("fp"), F.xxhash64(ROW).alias("digest"), F.monotonically_increasing_id().alias("number")
+    )
+    marked = stored(marked, "marked")
+    narrow = stored(marked.select(row(id_column).alias("id"), "fp", "digest", "number"), "narrow")
+    classes = _classes(narrow.select("id", "fp"), RADIUS).select("fp", "root")
+    members = narrow.join(classes, "fp").select("root", "number", F.struct(F.col("id").isNull().alias("last"), "id", "digest", "number").alias("place"))
+    several = members.groupBy("root").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    gone = stored(members.join(several, "root").where(F.col("number") != F.col("first.number")).select("number"), "gone")
+    left_out = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return unpacked(marked.join(left_out, "number", "left_anti"), docs.columns)

@@ -206,11 +206,13 @@ def fit(rows: DataFrame, width: int, number: int = COMPONENTS) -> Whitening | No
     """
     if width > WIDEST:
         raise ValueError(f"vectors of {width} entries; at most {WIDEST} are split by the driver")
+    if not width:
+        return None
     parts = rows.select("vector").mapInArrow(_sums(width), "at int, value string")
     added = parts.groupBy("at").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value")).collect()
     totals = {row["at"]: int(row["value"]) for row in added}
     n, sums = totals.get(-1, 0), [totals.get(i, 0) for i in range(width)]
-    if not n or not width:
+    if not n:
         return None
     covariance = _second_moments(rows, lambda v: centred(apart(whole(v), n, sums), n), width, width) / n
     trace = float(np.trace(covariance))

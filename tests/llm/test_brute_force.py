@@ -259,3 +259,27 @@ def test_op10_targets(spark):
     again = run(spark, "op10")
     key = lambda rows: sorted((r["doc_id"], r["taken"]) for r in rows)
     assert key(got) == key(again)
+
+
+@pytest.mark.parametrize("kind", ["null ids", "repeated rows", "one id", "two ties", "zero words"])
+def test_op10_ties(spark, kind):
+    """Sources whose rows share a place in the order reach their targets, too."""
+    rows = {
+        "null ids": [(None, "w " * 10, "a") for _ in range(1000)],
+        "repeated rows": [(7, "w " * 10, "a") for _ in range(1000)],
+        "one id": [(7, f"w{i} " * 10, "a") for i in range(600)] + [(i, "v " * 7, "a") for i in range(300)],
+        "two ties": [(1, "w " * 10, "a") for _ in range(500)] + [(2, "w " * 10, "a") for _ in range(500)],
+        "zero words": [(None, None, "a") for _ in range(50)] + [(None, "w", "a") for _ in range(500)],
+    }[kind] + [(i, "x " * 40, "b") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    from loanlens.llm import mixing
+
+    sample = mixing.sample_copies(docs, mixing.words(docs["text"])).collect()
+    assert len(sample) == len(rows)
+    for source in "ab":
+        mine = [r for r in sample if r["source"] == source]
+        taken, target = sum(r["copies"] * r["size"] for r in mine), mine[0]["target"]
+        assert target - max(r["size"] for r in mine) <= taken <= target * (1 + 1e-9)
+    again = mixing.sample_copies(docs, mixing.words(docs["text"])).collect()
+    key = lambda rows: Counter((r["doc_id"], r["text"], r["source"], r["copies"]) for r in rows)
+    assert key(sample) == key(again)
