@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlens.llm import copies, mixing, packing, pii, quality
-from loanlens.llm.queries import KEY, tokenizer_path
+from loanlens.llm import mixing, packing, pii, quality, simhash
+from loanlens.llm.queries import pseudonym_key, tokenizer_path
 from loanlens.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,13 +20,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies (five-word shingles, Jaccard of 0.8)."""
-    return copies.one_of_each(docs)
+    """Keep the document with the smallest id of each group of near-duplicates (four-word shingles, four bits)."""
+    return simhash.one_of_each(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Replace personal numbers, dates and addresses in every text."""
-    return pii.pseudonymized(docs, KEY)
+    return pii.pseudonymized(docs, pseudonym_key(spark))
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -41,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", keep_good),
-    ("near-dedup by shared shingles", keep_one_of_each),
+    ("SimHash near-dedup", keep_one_of_each),
     ("PII", hide_personal_data),
     ("mixing sources to target weights", mix),
     ("best-fit packing", pack),
