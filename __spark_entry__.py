@@ -19,9 +19,9 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 from loanlens.functions.numbers import round_half_up, sum_money  # noqa: E402
 from loanlens.lazy import Lazy  # noqa: E402
-from loanlens.operators import retrieval  # noqa: E402
+from loanlens.operators import postings, retrieval  # noqa: E402
 from loanlens.plans import analysis, derive, marts, policy, quality, questions  # noqa: E402
-from loanlens.sources import corpus, tables  # noqa: E402
+from loanlens.sources import corpus, store, tables  # noqa: E402
 from loanlens.sources.star_schema import StarSchema  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +40,9 @@ def _checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, folder: str) -> retrieval.Index:
-    return retrieval.tfidf_index(corpus.read_documents(spark, folder))
+    """The stored index of the documents, written when a query of this application first asks for it."""
+    documents = corpus.read_documents(spark, folder)
+    return store.kept(spark, "index", documents, lambda: retrieval.tfidf_index(documents))
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,32 +135,24 @@ def chunk_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chunk_ngrams(spark: SparkSession, folder: str) -> DataFrame:
-    return retrieval.postings(retrieval.term_counts(_chunks(spark, folder))).withColumn("tf", F.col("tf").cast("long"))
+    return retrieval.chunk_term_counts(corpus.read_documents(spark, folder)).withColumn("tf", F.col("tf").cast("long"))
 
 
 def tfidf_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    chunk_table = _chunks(spark, folder)
-    found = retrieval.postings(retrieval.term_counts(chunk_table))
-    return retrieval.vocabulary(found, chunk_table).withColumn("idf", F.round("idf", 6))
+    documents = corpus.read_documents(spark, folder)
+    found = retrieval.vocabulary(postings.segments(documents), retrieval.number_of_chunks(documents))
+    return found.withColumn("idf", F.round("idf", 6))
 
 
 def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
-    return retrieval.normalized(_index(spark, folder)).withColumn("weight", F.round("weight", 6))
+    return retrieval.weights(corpus.read_documents(spark, folder)).withColumn("weight", F.round("weight", 6))
 
 
 def tfidf_cosine(spark: SparkSession, folder: str) -> DataFrame:
     """How many chunks each passage meets, and how closely."""
     index = _index(spark, folder)
-    asked = retrieval.question_weights(StarSchema(spark, folder).passages_to_find(), index.vocabulary)
-    return (
-        retrieval.cosine(asked, index)
-        .groupBy("question_id")
-        .agg(
-            F.count(F.lit(1)).alias("chunks_met"),
-            F.round(F.max("score"), 4).alias("best_score"),
-            F.round(F.sum("score"), 3).alias("total_score"),
-        )
-    )
+    met = retrieval.cosine_summary(retrieval.asked_terms(StarSchema(spark, folder).passages_to_find(), index), index)
+    return met.withColumn("best_score", F.round("best_score", 4)).withColumn("total_score", F.round("total_score", 3))
 
 
 def policy_top_k(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,18 +223,18 @@ def disburse_approved(spark: SparkSession, folder: str) -> DataFrame:
     return derive.disburse_approved(_tables(spark, folder)["loan_applications"], lag)
 
 
-def _if_there(name: str):
-    """The module, or None where the training-data subpackage has been taken out."""
+def _training_modules() -> tuple:
+    """The queries and the pipeline of the training-data subpackage, or nothing where it has been taken out."""
     try:
-        return importlib.import_module(name)
+        importlib.import_module("loanlens.llm")
     except ModuleNotFoundError as missing:
-        if missing.name is None or not name.startswith(missing.name):
+        if missing.name != "loanlens.llm":
             raise
-        return None
+        return None, None
+    return importlib.import_module("loanlens.llm.queries"), importlib.import_module("corpus_pipeline")
 
 
-_training = _if_there("loanlens.llm.queries")
-_pipeline = _if_there("corpus_pipeline")
+_training, _pipeline = _training_modules()
 
 
 def _training_queries() -> dict[str, Query]:

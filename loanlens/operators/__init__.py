@@ -1,0 +1,8 @@
+"""Operators over DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with them; executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,33 +1,49 @@
 """TF-IDF retrieval over chunked text, for many questions at once.
 
-A corpus becomes four tables. ``chunks`` holds the passages, ``vocabulary``
-every term with its inverse document frequency, ``weights`` one row per term
-and chunk, laid out by term, and ``norms`` the length of each chunk's vector.
-Weights are divided by the norms where scores are made, so that they move once.
+An index is built from segments of postings (``postings.py``). It has four tables: ``chunks``, the
+passages; ``vocabulary``, every term with its inverse document frequency; ``postings``, a row per
+term and segment, laid out by term, with the highest weight that the term has in the segment; and
+``directory``, a row per segment with the texts its chunks stem from and the lengths of the chunks'
+vectors. Questions meet a segment's postings in one task, in blocks of questions, and only what can
+still reach a question's best chunks is scored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import uuid
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loanlens.functions.text import STOP_WORDS, ngrams, tokens, words
+from loanlens.functions.text import STOP_WORDS, words
+from loanlens.operators import postings as p
+from loanlens.operators.postings import MAX_WORDS, OVERLAP
+from loanlens.session import shared_folder, stored
+from loanlens.sources import snapshots
 
-MAX_WORDS = 120
-OVERLAP = 25
 TOP_K = 3
+#: Shelves of the stored postings: a term's rows are on the shelf of its hash, and questions open their shelves only.
+SHELVES = 64
+#: Questions that meet a segment's postings at once.
+QUESTIONS_AT_ONCE = 512
+#: Far above what the order of additions changes in a score, far below the digits that scores are compared in.
+SLACK = 1e-8
+DIGITS = 9
 
 
 @dataclass(frozen=True)
 class Index:
     chunks: DataFrame  # source, chunk_no, text
     vocabulary: DataFrame  # term, corpus_count, df, idf
-    weights: DataFrame  # source, chunk_no, term, raw
-    norms: DataFrame  # source, chunk_no, length
+    postings: DataFrame  # shelf, term, segment, idf, most, chunks, tfs
+    directory: DataFrame  # segment, sources, firsts, befores, lengths
 
 
 def chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
@@ -64,132 +80,357 @@ def chunk_id() -> Column:
 
 
 def term_counts(texts: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """Replace ``text`` by ``counts``: its distinct uni- and bigrams with their frequencies.
+    """``source, term, tf``: the distinct uni- and bigrams of each whole text of ``texts`` (``source, text``)."""
+    return p.flat_counts(texts, stop_words, whole=True).drop("chunk_no")
 
-    A text is counted inside its own row, so no shuffle is needed: equal terms
-    are neighbours once sorted, and a frequency is the distance between the
-    starts of two runs.
-    """
-    keys = [c for c in texts.columns if c != "text"]
-    last = F.size("ordered")
-    starts = F.filter(
-        F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: (i == 0) | (F.get("ordered", i) != F.get("ordered", i - 1)),
-    )
-    counts = F.transform(
-        "starts",
-        lambda start, j: F.struct(
-            F.get("ordered", start).alias("term"),
-            (F.coalesce(F.get("starts", j + 1), last) - start).alias("tf"),
-        ),
-    )
-    return (
-        texts.select(*keys, tokens(F.col("text"), stop_words).alias("tokens"))
-        .select(*keys, F.sort_array(ngrams(F.col("tokens"))).alias("ordered"))
-        .select(*keys, "ordered", starts.alias("starts"))
-        .select(*keys, counts.alias("counts"))
-    )
+
+def chunk_term_counts(documents: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """``source, chunk_no, term, tf`` of the chunks of ``documents`` (``source, text``)."""
+    return p.flat_counts(documents, stop_words)
 
 
-def postings(counted: DataFrame) -> DataFrame:
-    keys = [c for c in counted.columns if c != "counts"]
-    return counted.select(*keys, F.inline_outer("counts")).filter("term IS NOT NULL")
+def number_of_chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> Column:
+    """How many chunks there are, from the numbers of words alone, as a value inside another plan."""
+    made = F.ceil(F.size(words(F.col("text"))) / (max_words - overlap))
+    return documents.select(made.alias("made")).agg(F.coalesce(F.sum("made"), F.lit(0))).scalar()
 
 
-def vocabulary(chunk_postings: DataFrame, chunk_table: DataFrame, max_features: int | None = None) -> DataFrame:
-    """Every term, or the ``max_features`` with the highest total count, ties in alphabetical order.
+def vocabulary(rows: DataFrame, n_chunks: Column, max_features: int | None = None) -> DataFrame:
+    """Every term of the segments' ``rows``, or the ``max_features`` with the highest total count, ties in alphabetical order.
 
-    Counts are added up per task before the shuffle, so a frequent term is not
-    a hot key.
+    A segment's counts are added up before the shuffle, so a frequent term is one row per segment.
     """
-    n_chunks = chunk_table.agg(F.count(F.lit(1))).scalar()
-    counted = chunk_postings.groupBy("term").agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("df"))
+    counted = rows.where("term IS NOT NULL").groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"), F.sum("df").alias("df"))
     if max_features is not None:
         counted = counted.orderBy(F.desc("corpus_count"), "term").limit(max_features)
     return counted.withColumn("idf", F.log((n_chunks + 1.0) / (F.col("df") + 1.0)) + 1.0)
 
 
-def weighted(found: DataFrame, vocab: DataFrame, keys: list[str]) -> DataFrame:
-    """Term frequency times idf; terms outside the vocabulary drop out.
+def _with_idf(rows: DataFrame, n_chunks: Column) -> DataFrame:
+    """The segments' rows with ``idf``, by one shuffle: a term's rows, one per segment, are neighbours. Slices of texts stay apart."""
+    key = F.coalesce("term", F.format_string("\u0000%d", "segment"))
+    dealt = rows.withColumn("key", key).repartition("key")
+    total = F.sum("df").over(W.partitionBy("key"))
+    return dealt.withColumn("idf", F.log((n_chunks + 1.0) / (total + 1.0)) + 1.0).drop("key")
+
+
+def _per_segment(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of each segment, from batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        numbers = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        start = 0
+        for at, number in enumerate(numbers):
+            if number != last:
+                if at > start:
+                    held.append(batch.slice(start, at - start))
+                if held:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                held, last, start = [], number, at
+        if len(numbers) > start:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
-    The vocabulary grows with the corpus, so it is joined and not broadcast;
-    the postings of a frequent term are split by adaptive joins.
-    """
-    return found.join(vocab.select("term", "idf"), "term").select(*keys, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+
+def _array(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+@dataclass
+class _Weighed:
+    """A segment's postings as weights that are not yet divided by the lengths of their chunks."""
+
+    sources: list
+    first: np.ndarray
+    before: np.ndarray
+    terms: pa.Table
+    starts: np.ndarray
+    chunk: np.ndarray
+    raw: np.ndarray
+    length: np.ndarray
+
+
+def _weighed(segment: pa.Table) -> _Weighed:
+    known = segment.column("term").is_valid()
+    slices, terms = segment.filter(pa.compute.invert(known)).sort_by("first"), segment.filter(known)
+    first = slices.column("first").to_numpy()
+    size = int(slices.column("chunk_count").to_numpy().sum())
+    starts, chunk, tf = p.decoded_segment(_array(terms.column("chunks")), _array(terms.column("tfs")))
+    raw = tf * np.repeat(terms.column("idf").to_numpy(), np.diff(starts))
+    length = np.sqrt(np.bincount(chunk, raw * raw, size))
+    return _Weighed(slices.column("source").to_pylist(), first, slices.column("chunks_before").to_numpy(), terms, starts, chunk, raw, length)
+
+
+def _sorted_by(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def weights(documents: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """``source, chunk_no, term, weight``: every chunk's vector in unit length. Texts are read once for it, and once to count words."""
+    rows = _with_idf(p.segments(documents, stop_words), number_of_chunks(documents))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment in _per_segment(batches, "segment"):
+            yield from _flat(_weighed(segment))
+
+    return _sorted_by(rows, "segment").mapInArrow(run, WEIGHTS)
+
+
+WEIGHTS = "source string, chunk_no int, term string, weight double"
+
+
+def _flat(made: _Weighed) -> Iterator[pa.RecordBatch]:
+    owner, chunk_no = p.owners(made.first, made.before, made.chunk)
+    term = np.repeat(np.arange(len(made.starts) - 1), np.diff(made.starts))
+    sources, terms, weight = pa.array(made.sources, pa.string()), _array(made.terms.column("term")), made.raw / made.length[made.chunk]
+    for at in range(0, len(term), p.ROWS_AT_ONCE):
+        part = slice(at, at + p.ROWS_AT_ONCE)
+        columns = [sources.take(pa.array(owner[part])), pa.array(chunk_no[part].astype(np.int32)), terms.take(pa.array(term[part]))]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(weight[part])], names=["source", "chunk_no", "term", "weight"])
 
 
-def lengths(raw: DataFrame, keys: list[str]) -> DataFrame:
-    """Vector lengths. Squares are added up per task, and one row per key and task is shuffled."""
-    return raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
+INDEXED = (
+    "segment long, term string, corpus_count long, df long, idf double, most double, chunks binary, tfs binary, "
+    "sources array<string>, firsts array<int>, befores array<int>, lengths binary"
+)
+
+
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A segment's terms with their highest weights, and its directory row."""
+    names = [field.split()[0] for field in INDEXED.split(", ")]
+    lists = [pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+    for segment in _per_segment(batches, "segment"):
+        made, number = _weighed(segment), segment.column("segment")[0].as_py()
+        n = made.terms.num_rows
+        weight = made.raw / made.length[made.chunk]
+        most = np.maximum.reduceat(weight, made.starts[:-1]) if n else np.empty(0)
+        columns = [_array(made.terms.column(c)) for c in ("segment", "term", "corpus_count", "df", "idf")] + [pa.array(most)]
+        columns += [_array(made.terms.column(c)) for c in ("chunks", "tfs")] + [pa.nulls(n, kind) for kind in lists]
+        terms = pa.RecordBatch.from_arrays(columns, names=names)
+        yield from (terms.slice(at, p.ROWS_AT_ONCE) for at in range(0, n, p.ROWS_AT_ONCE))
+        own = [[made.sources], [made.first.tolist()], [made.before.tolist()], [made.length.tobytes()]]
+        nulls = [pa.nulls(1, terms.schema.field(i).type) for i in range(1, 8)]
+        yield pa.RecordBatch.from_arrays([pa.array([number]), *nulls, *map(pa.array, own, lists)], names=names)
 
 
 CHUNK = ["source", "chunk_no"]
 
 
-def tfidf_index(
-    documents: DataFrame, max_features: int | None = None, stop_words: Sequence[str] = STOP_WORDS
-) -> Index:
-    """The index of a corpus, described and not yet made. Term counts are kept once made, for all three tables."""
-    chunk_table = chunks(documents)
-    found = postings(term_counts(chunk_table, stop_words).persist())
-    vocab = vocabulary(found, chunk_table, max_features)
-    raw = weighted(found, vocab, CHUNK)
-    return Index(chunk_table, vocab, raw, lengths(raw, CHUNK))
+def tfidf_index(documents: DataFrame, max_features: int | None = None, stop_words: Sequence[str] = STOP_WORDS) -> Index:
+    """The index of a corpus, written to a folder of its own below the shared one."""
+    return write_index(documents, f"{shared_folder(documents.sparkSession)}/index-{uuid.uuid4().hex}", max_features, stop_words)
 
 
-def normalized(index: Index) -> DataFrame:
-    """The weights in unit length: ``source, chunk_no, term, weight``."""
-    return index.weights.join(index.norms, CHUNK).select(*CHUNK, "term", (F.col("raw") / F.col("length")).alias("weight"))
+def write_index(documents: DataFrame, folder: str, max_features: int | None = None, stop_words: Sequence[str] = STOP_WORDS) -> Index:
+    """Write the index of ``documents`` (``source, text``); what was there before is no longer part of it."""
+    return _grown(documents, folder, {"chunks": [], "segments": []}, max_features, stop_words)
 
 
-def write_index(documents: DataFrame, folder: str, max_features: int | None = None) -> Index:
-    """Write the tables; each later one is derived from those already on disk, and texts are read once.
+def append_documents(documents: DataFrame, folder: str, max_features: int | None = None, stop_words: Sequence[str] = STOP_WORDS) -> Index:
+    """Add texts to a written index. Their sources must be new.
 
-    Weights are sorted by term, so that the statistics of their files tell a
-    reader which of them hold the terms of a question.
+    Only the new texts are read and counted. Frequencies of all segments, old and new, are then
+    added up anew, as new texts change every weight; that reads numbers and terms, no texts. Readers
+    see the index as it was until the new one is complete.
     """
-    spark = documents.sparkSession
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")
-
-    chunk_table = written(chunks(documents), "chunks")
-    found = postings(written(term_counts(chunk_table), "term_counts"))
-    vocab = written(vocabulary(found, chunk_table, max_features), "vocabulary")
-    by_term = weighted(found, vocab, CHUNK).repartitionByRange("term", *CHUNK).sortWithinPartitions("term")
-    raw = written(by_term, "weights")
-    written(lengths(raw, CHUNK), "norms")
+    found = snapshots.current(documents.sparkSession, folder)
+    if found is None:
+        raise ValueError(f"no index at {folder}")
+    return _grown(documents, folder, {name: found[name] for name in ("chunks", "segments")}, max_features, stop_words)
+
+
+def _grown(documents: DataFrame, folder: str, before: dict[str, list[str]], max_features: int | None, stop_words: Sequence[str]) -> Index:
+    """Each table is derived from those already on disk, and new texts are read once for counts and once for passages."""
+    spark, version = documents.sparkSession, snapshots.new_version()
+
+    def written(df: DataFrame, name: str, *shelf: str) -> str:
+        path = f"{folder}/versions/{version}/{name}.parquet"
+        df.write.partitionBy(*shelf).parquet(path)
+        return path
+
+    passages = [*before["chunks"], written(chunks(documents), "chunks")]
+    counted = [*before["segments"], written(p.segments(documents, stop_words, len(before["segments"])), "segments")]
+    rows = spark.read.parquet(*counted)
+    n_chunks = rows.agg(F.coalesce(F.sum("chunk_count"), F.lit(0))).scalar()
+    if max_features is None:
+        kept = rows
+    else:
+        terms = written(vocabulary(rows, n_chunks, max_features).select("term"), "kept")
+        own = rows.where("term IS NOT NULL").join(spark.read.parquet(terms), "term", "left_semi")
+        kept = rows.where("term IS NULL").unionByName(own)
+    found = _sorted_by(_with_idf(kept, n_chunks), "segment").mapInArrow(_indexed, INDEXED)
+    indexed = spark.read.parquet(written(found, "indexed"))
+    by_term = indexed.where("term IS NOT NULL")
+    vocab = by_term.groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"), F.sum("df").alias("df"), F.first("idf").alias("idf"))
+    shelved = by_term.select(_shelf(F.col("term")).alias("shelf"), "term", "segment", "idf", "most", "chunks", "tfs")
+    tables = {
+        "chunks": passages,
+        "segments": counted,
+        "vocabulary": [written(vocab.withColumn("shelf", _shelf(F.col("term"))).repartition("shelf").sortWithinPartitions("shelf", "term"), "vocabulary", "shelf")],
+        # segments spread a shelf that one very frequent term fills
+        "postings": [written(shelved.repartitionByRange("shelf", "term", "segment").sortWithinPartitions("shelf", "term"), "postings", "shelf")],
+        "directory": [written(indexed.where("term IS NULL").select("segment", "sources", "firsts", "befores", "lengths"), "directory")],
+    }
+    snapshots.publish(spark, folder, version, tables)
     return read_index(spark, folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> Index:
-    return Index(*[spark.read.parquet(f"{folder}/{name}.parquet") for name in ("chunks", "vocabulary", "weights", "norms")])
+    found = snapshots.current(spark, folder)
+    if found is None:
+        raise ValueError(f"no index at {folder}")
+    return Index(*[spark.read.parquet(*found[name]) for name in ("chunks", "vocabulary", "postings", "directory")])
+
+
+def _shelf(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(SHELVES)).cast("int")
+
+
+def _on_shelves(table: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows on the shelves of the asked terms; at most SHELVES numbers come to the driver."""
+    shelves = [row["shelf"] for row in asked.select(_shelf(F.col("term")).alias("shelf")).distinct().collect()]
+    return table.where(F.col("shelf").isin(shelves))
+
+
+def normalized(index: Index) -> DataFrame:
+    """The stored weights in unit length: ``source, chunk_no, term, weight``."""
+    empty = lambda kind: F.lit(None).cast(kind)
+    own = index.postings.select(
+        "segment", "term", "idf", "chunks", "tfs", *[empty(k).alias(n) for n, k in (("sources", "array<string>"), ("firsts", "array<int>"), ("befores", "array<int>"), ("lengths", "binary"))]
+    )
+    heads = index.directory.select("segment", *[empty(k).alias(n) for n, k in (("term", "string"), ("idf", "double"), ("chunks", "binary"), ("tfs", "binary"))], "sources", "firsts", "befores", "lengths")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment in _per_segment(batches, "segment"):
+            known = segment.column("term").is_valid()
+            head, terms = segment.filter(pa.compute.invert(known)).to_pylist()[0], segment.filter(known)
+            starts, chunk, tf = p.decoded_segment(_array(terms.column("chunks")), _array(terms.column("tfs")))
+            raw = tf * np.repeat(terms.column("idf").to_numpy(), np.diff(starts))
+            yield from _flat(_Weighed(head["sources"], np.array(head["firsts"]), np.array(head["befores"]), terms, starts, chunk, raw, np.frombuffer(head["lengths"])))
+
+    return _sorted_by(own.unionByName(heads), "segment").mapInArrow(run, WEIGHTS)
 
 
 def question_weights(questions: DataFrame, vocab: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """Questions in the space of the corpus: same vocabulary, same idf, unit length."""
-    counted = term_counts(questions.select("question_id", F.col("question").alias("text")), stop_words)
-    raw = weighted(postings(counted), vocab, ["question_id"])
+    counted = term_counts(questions.select(F.col("question_id").alias("source"), F.col("question").alias("text")), stop_words)
+    counted = counted.withColumnRenamed("source", "question_id")
+    found = counted.join(vocab.select("term", "idf"), "term")
+    raw = found.select("question_id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
     # a question has at most the terms of one text
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("question_id")))
     return raw.select("question_id", "term", (F.col("raw") / length).alias("question_weight"))
 
 
+def asked_terms(questions: DataFrame, index: Index) -> DataFrame:
+    """``question_weights`` of a stored index, written once; of the vocabulary only the shelves of their terms are read."""
+    counted = term_counts(questions.select(F.col("question_id").alias("source"), F.col("question").alias("text")))
+    return stored(question_weights(questions, _on_shelves(index.vocabulary, counted)), "asked")
+
+
+def best_chunks(entries: list[tuple], size: int, k: int | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """The chunks of a segment that can be among the ``k`` best, all that are met without ``k``: numbers, scores, products made.
+
+    ``entries`` holds per term the highest weight it can add, and its chunks with what it adds to
+    each. Terms come with the highest bound first. Once what is left cannot lift a chunk that no
+    term has met yet above the k-th best so far, only chunks met are followed, and of those only the
+    ones that what is left can still lift so far.
+    """
+    entries = sorted(entries, key=lambda e: -e[0])
+    left = np.concatenate([np.cumsum([e[0] for e in entries][::-1])[::-1], [0.0]])
+    score, followed, least, products = np.zeros(size), None, 0.0, 0
+    for at, (_, chunk, added) in enumerate(entries):
+        if followed is None and k is not None and least > 0 and left[at] < least - SLACK:
+            met = np.flatnonzero(score)
+            followed = met[score[met] + left[at] >= least - SLACK]
+        if followed is None:
+            score[chunk] += added
+            products += len(chunk)
+            reached = score[np.flatnonzero(score)]
+        else:
+            place = np.minimum(np.searchsorted(chunk, followed), len(chunk) - 1)
+            hit = chunk[place] == followed
+            score[followed[hit]] += added[place[hit]]
+            products += int(hit.sum())
+            reached = score[followed]
+        if k is not None and len(reached) >= k:
+            least = float(np.partition(reached, -k)[-k])
+            if followed is not None:
+                followed = followed[reached + left[at + 1] >= least - SLACK]
+    found = np.flatnonzero(score) if followed is None else followed
+    return found, np.round(score[found], DIGITS), products
+
+
+def _scored(asked: DataFrame, index: Index, mode: str, k: int, schema: str) -> DataFrame:
+    """Meet questions and segments. ``mode``: the ``best`` chunks of each, ``all`` chunks met, or a ``summary`` of them.
+
+    A task meets one segment with one block of questions. A segment's postings of a term are sent
+    once per block, however many of its questions have the term.
+    """
+    blocks = max(1, math.ceil(asked.agg(F.countDistinct("question_id")).first()[0] / QUESTIONS_AT_ONCE))
+    block = F.pmod(F.xxhash64("question_id"), F.lit(blocks)).cast("int")
+    by_term = asked.groupBy(block.alias("block"), "term").agg(F.collect_list(F.struct("question_id", "question_weight")).alias("asked"))
+    empty = lambda kind: F.lit(None).cast(kind)
+    own = _on_shelves(index.postings, asked).join(by_term, "term").select(
+        "segment", "block", "term", "idf", "most", "chunks", "tfs", "asked",
+        *[empty(kind).alias(name) for name, kind in (("sources", "array<string>"), ("firsts", "array<int>"), ("befores", "array<int>"), ("lengths", "binary"))],
+    )
+    heads = index.directory.select(
+        "segment", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        *[empty(kind).alias(name) for name, kind in own.dtypes[2:8]], "sources", "firsts", "befores", "lengths",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [field.split()[0] for field in schema.split(", ")]
+        for group in _per_segment(batches, "segment", "block"):
+            rows = []
+            heads = group.filter(pa.compute.is_null(group.column("term"))).select(["sources", "firsts", "befores", "lengths"]).to_pylist()
+            terms = group.filter(pa.compute.is_valid(group.column("term")))
+            if not terms.num_rows:
+                continue
+            head, length = heads[0], np.frombuffer(heads[0]["lengths"])
+            questions: dict[str, list] = {}
+            for row in terms.select(["idf", "most", "chunks", "tfs", "asked"]).to_pylist():
+                chunk, tf = p.decoded(row["chunks"], row["tfs"])
+                weight = tf * row["idf"] / length[chunk]
+                for question in row["asked"]:
+                    own = question["question_weight"]
+                    questions.setdefault(question["question_id"], []).append((own * row["most"], chunk, own * weight))
+            for question, entries in questions.items():
+                found, score, _ = best_chunks(entries, len(length), k if mode == "best" else None)
+                if mode == "summary":
+                    rows.append((question, len(found), float(score.max()), float(score.sum())))
+                    continue
+                owner, chunk_no = p.owners(head["firsts"], head["befores"], found)
+                places = [(s, head["sources"][o], n) for s, o, n in zip(score.tolist(), owner.tolist(), chunk_no.tolist(), strict=True)]
+                if mode == "best" and len(places) > k:
+                    places = sorted(places, key=lambda x: (x[0], (x[1] or "").encode(), x[2]), reverse=True)[:k]
+                rows += [(source, number, question, value) for value, source, number in places]
+            kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds[f.split()[1]]) for c, f in zip(columns, schema.split(", "), strict=True)], names=names)
+
+    return _sorted_by(own.unionByName(heads), "segment", "block").mapInArrow(run, schema)
+
+
+SCORED = "source string, chunk_no int, question_id string, score double"
+
+
 def cosine(asked: DataFrame, index: Index) -> DataFrame:
     """Score of every chunk that shares a term with a question: ``source, chunk_no, question_id, score``.
 
-    Postings of other terms are left where they are. Products are added up per
-    task before they are shuffled by chunk and question. The score is kept to
-    nine decimals, well above rounding noise, so equal passages compare as equal.
+    The score is kept to nine decimals, well above rounding noise, so equal passages compare as equal.
     """
-    products = (
-        index.weights.join(asked, "term")
-        .groupBy(*CHUNK, "question_id")
-        .agg(F.sum(F.col("raw") * F.col("question_weight")).alias("product"))
-    )
-    return products.join(index.norms, CHUNK).select(
-        *CHUNK, "question_id", F.round(F.col("product") / F.col("length"), 9).alias("score")
+    return _scored(asked, index, "all", 0, SCORED)
+
+
+def cosine_summary(asked: DataFrame, index: Index) -> DataFrame:
+    """``question_id, chunks_met, best_score, total_score`` over every chunk that shares a term with a question."""
+    parts = _scored(asked, index, "summary", 0, "question_id string, met long, best double, total double")
+    return parts.groupBy("question_id").agg(
+        F.sum("met").alias("chunks_met"), F.max("best").alias("best_score"), F.sum("total").alias("total_score")
     )
 
 
@@ -207,7 +448,7 @@ def retrieve(questions: DataFrame, index: Index, k: int = TOP_K) -> DataFrame:
 
     ``questions`` has distinct ``question_id, question``, any number of them.
     """
-    scored = best(cosine(question_weights(questions, index.vocabulary), index), k)
+    scored = best(_scored(asked_terms(questions, index), index, "best", k, SCORED), k)
     # A question that meets fewer than k chunks is filled up with chunks of
     # score 0, the last ones first. Of the last k chunks at most as many as it
     # did meet can be taken already.
@@ -231,7 +472,7 @@ def with_text(hits: DataFrame, chunk_table: DataFrame) -> DataFrame:
     shuffled. Questions without matches all hit the same last chunks; adaptive
     joins split those.
     """
-    hits = hits.persist()
+    hits = stored(hits, "hits")
     wanted = chunk_table.join(hits.select("source").distinct(), "source", "left_semi")
     return hits.join(wanted, CHUNK)
 
