@@ -42,7 +42,7 @@ def _checks(spark: SparkSession, folder: str) -> DataFrame:
 def _index(spark: SparkSession, folder: str) -> retrieval.Index:
     """The stored index of the documents, written when a query of this application first asks for it."""
     documents = corpus.read_documents(spark, folder)
-    return store.kept(spark, "index", documents, lambda: retrieval.tfidf_index(documents))
+    return store.kept(spark, "index", [documents], lambda: retrieval.tfidf_index(documents))
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,10 +55,12 @@ def _hits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _read_often(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The marts and the report that several findings read. They are small, and kept once computed."""
+    """The marts and the report that several findings read: written when a query of this application first asks for them."""
     gold = _gold(spark, folder)
-    names = ["gold_approval_funnel", "gold_portfolio_summary", "gold_dpd_bucket_analysis"]
-    return {name: gold[name].persist() for name in names}, _checks(spark, folder).persist()
+    named = {name: gold[name] for name in ("gold_approval_funnel", "gold_portfolio_summary", "gold_dpd_bucket_analysis")}
+    named["gold_data_quality_report"] = _checks(spark, folder)
+    found = dict(store.kept(spark, "read often", list(named.values()), lambda: store.written_together(named)))
+    return found, found.pop("gold_data_quality_report")
 
 
 def _answers(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,7 +114,19 @@ def thirty_plus_boundary(enriched: DataFrame) -> DataFrame:
 
 
 def mart_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return analysis.row_counts(_gold(spark, folder), _checks(spark, folder).persist())
+    """Counted from written tables; those that the findings read are not written again."""
+    gold = _gold(spark, folder)
+    often, checks = _read_often(spark, folder)
+    others = {name: gold[name] for name in gold if name not in often}
+    return analysis.row_counts(often | store.kept(spark, "other marts", list(others.values()), lambda: _others(gold)), checks)
+
+
+def _others(gold: Lazy) -> dict[str, DataFrame]:
+    """The loan features are read back by the marts that are derived from them."""
+    features = store.written_together({"gold_loan_features": gold["gold_loan_features"]})
+    enriched = store.written_together({"gold_repayment_enriched": gold["gold_repayment_enriched"]})
+    vintage = marts.vintage_analysis(enriched["gold_repayment_enriched"])
+    return features | enriched | store.written_together({"gold_vintage_analysis": vintage})
 
 
 def adhoc_sql_mart(spark: SparkSession, folder: str) -> DataFrame:

@@ -83,6 +83,7 @@ INCIDENT_DEFAULTS = {
     "table_name": "No critical DQ rule returned",
     "rule_name": "NA",
 }
+NO_POLICY = "No policy source retrieved"
 POLICY_LINE = "**Policy context:** "
 SOURCES_LINE = "\n\nPolicy sources: "
 MISSING = "NA"

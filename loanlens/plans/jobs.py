@@ -6,12 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from loanlens.operators import retrieval
 from loanlens.plans import analysis, marts, quality
-from loanlens.sources import tables
+from loanlens.sources import snapshots, tables
 
 MONTH_OF_MART = {
     "gold_loan_features": "disbursed_month",
@@ -65,25 +64,26 @@ def read_gold(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{out_dir}/gold/{name}.parquet") for name in [*GOLD, REPORT]}
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a written table can be read there; the file system is the one Spark uses."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def ensure_built(spark: SparkSession, in_dir: str, corpus: DataFrame, out_dir: str) -> bool:
-    """Build marts, report and text index unless they are all there; returns whether anything was built."""
-    needed = [
-        f"{out_dir}/gold/gold_portfolio_summary.parquet",
-        f"{out_dir}/gold/gold_approval_funnel.parquet",
-        f"{out_dir}/gold/{REPORT}.parquet",
-        f"{out_dir}/index/weights.parquet",
-    ]
-    if all(exists(spark, path) for path in needed):
+    """Build tables, marts, report and text index unless they are all there; returns whether anything was built.
+
+    A manifest that is written last says that they are. A build that stopped anywhere has none and
+    is made again as a whole; a table that was taken away since makes it incomplete, too.
+    """
+    found = snapshots.current(spark, out_dir)
+    if found is not None and all(exists(spark, path) for paths in found.values() for path in paths):
         return False
     build_all(spark, in_dir, out_dir)
     retrieval.write_index(corpus, f"{out_dir}/index")
+    tables_there = {f"silver/{name}": [f"{out_dir}/silver/{name}.parquet"] for name in tables.SCHEMAS}
+    tables_there |= {f"gold/{name}": [f"{out_dir}/gold/{name}.parquet"] for name in [*GOLD, REPORT]}
+    tables_there |= {f"index/{name}": paths for name, paths in snapshots.current(spark, f"{out_dir}/index").items()}
+    snapshots.publish(spark, out_dir, snapshots.new_version(), tables_there)
     return True
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table that was written to its end is there; the file system is the one Spark uses."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))

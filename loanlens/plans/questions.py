@@ -176,7 +176,7 @@ def quality_finding(checks: DataFrame) -> DataFrame:
 
 
 def portfolio_finding(summary: DataFrame) -> DataFrame:
-    """Totals over the whole portfolio, and its largest segment."""
+    """Totals over the rows that the portfolio report displays, as its text says, and the largest of them."""
     largest = F.struct(
         F.coalesce("principal_disbursed", F.lit(0.0)).alias("amount"),
         "disbursed_month",
@@ -186,7 +186,7 @@ def portfolio_finding(summary: DataFrame) -> DataFrame:
         "principal_disbursed",
         "avg_risk_score",
     )
-    totals = summary.agg(
+    totals = analysis.portfolio_top(summary).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("loans").alias("loans"),
         sum_money(F.col("principal_disbursed")).alias("principal"),
@@ -257,7 +257,7 @@ def answers(questions: DataFrame, marts: Tables, checks: DataFrame, hits: DataFr
         .withColumn("citations", F.coalesce("citations", F.array().cast("array<string>")))
     )
     sources = F.array_distinct("citations")
-    policy = F.when(F.size(sources) > 0, F.array_join(sources, ", ")).otherwise("No policy source retrieved")
+    policy = F.when(F.size(sources) > 0, F.array_join(sources, ", ")).otherwise(p.NO_POLICY)
     body = F.when(F.col("cites_policy"), F.concat("finding", F.lit(p.POLICY_LINE), policy)).otherwise(F.col("finding"))
     source_line = F.when(
         F.size("citations") > 0, F.concat(F.lit(p.SOURCES_LINE), F.array_join("citations", ", "))

@@ -1,8 +1,10 @@
+import shutil
+
 import pytest
 
 from lending import DATA, portfolio
 from loanlens.plans import analysis, jobs, quality
-from loanlens.sources import tables
+from loanlens.sources import snapshots, tables
 
 BUILT = [*jobs.GOLD, jobs.REPORT]
 
@@ -44,6 +46,41 @@ def test_second_run_builds_nothing(spark, built):
     assert not jobs.ensure_built(spark, raw, corpus, out)
 
 
+PARTS = [f"silver/{n}.parquet" for n in tables.SCHEMAS] + [f"gold/{n}.parquet" for n in BUILT] + ["manifests"]
+
+
+@pytest.mark.parametrize("part", PARTS)
+def test_a_build_that_stopped_is_not_complete(spark, built, tmp_path, monkeypatch, part):
+    """Without any one of its tables, or without the manifest, a build is made again."""
+    _, out, corpus = built
+    copy = tmp_path / "out"
+    shutil.copytree(out, copy)
+    for manifest in copy.glob("manifests/*/part-*"):
+        manifest.write_text(manifest.read_text().replace(f"{out}/", f"{copy}/"))
+        (manifest.parent / f".{manifest.name}.crc").unlink(missing_ok=True)
+    made = []
+    monkeypatch.setattr(jobs, "build_all", lambda *a: made.append("marts"))
+    monkeypatch.setattr(jobs.retrieval, "write_index", lambda *a: made.append("index"))
+    assert not jobs.ensure_built(spark, "", corpus, str(copy)) and not made
+    shutil.rmtree(copy / part)
+    assert jobs.ensure_built(spark, "", corpus, str(copy)) and made == ["marts", "index"]
+
+
+def test_a_version_is_seen_as_a_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path)
+    assert snapshots.current(spark, root) is None
+    for number in (1, 2):
+        version = snapshots.new_version()
+        path = f"{root}/versions/{version}/t.parquet"
+        spark.range(number).write.parquet(path)
+        assert snapshots.current(spark, root) is None if number == 1 else snapshots.read(spark, root, "t").count() == 1
+        snapshots.publish(spark, root, version, {"t": [path]})
+        assert snapshots.read(spark, root, "t").count() == number
+    # a manifest whose job has not ended
+    (tmp_path / "manifests" / "99999" / "_temporary").mkdir(parents=True)
+    assert snapshots.read(spark, root, "t").count() == 2
+
+
 def test_any_sql_on_the_marts(spark, built):
     gold = jobs.read_gold(spark, built[1])
     got = analysis.run_sql(spark, "SELECT COUNT(*) AS n FROM gold_vintage_analysis v JOIN gold_loan_features USING (disbursed_month)", gold)
