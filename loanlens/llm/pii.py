@@ -35,6 +35,8 @@ ANY = "|".join([EMAIL, IBAN, PHONE, IPV4, SSN, DATE, CARD])
 
 #: Dates of 1900 to 2099: 73,049 days, as 17 x 4,297.
 FIRST_DAY, DAY_PARTS = "1900-01-01", (17, 4297)
+#: Written ``99/99/9999``: those days with the month first, and the 44,249 later than the twelfth with the day first; 446 x 263.
+SLASH_PARTS, DAYS = (446, 263), 73_049
 #: Social security numbers: areas 001-899 but 666 with groups 01-99, and serials 0001-9999.
 SSN_PARTS = (898 * 99, 9999)
 
@@ -125,6 +127,35 @@ class Pseudonyms:
         made = F.date_add(F.lit(FIRST_DAY).cast("date"), (left * DAY_PARTS[1] + right).cast("int"))
         return F.when(since.between(0, DAY_PARTS[0] * DAY_PARTS[1] - 1), F.date_format(made, form)).otherwise(match)
 
+    def slash_date(self, match: Column) -> Column:
+        """Real days of 1900 to 2099 as ``99/99/9999``: the month first, or the day if it is later than the twelfth.
+
+        Both ways of writing share one form, so they share one permutation: places 0 to DAYS - 1 are
+        the days with the month first, the places from DAYS on the days after the twelfth of a month.
+        """
+        day_first = F.substring(match, 1, 2).cast("int") > 12
+        day = F.when(day_first, F.try_to_date(match, "dd/MM/yyyy")).otherwise(F.try_to_date(match, "MM/dd/yyyy"))
+        start = F.lit(FIRST_DAY).cast("date")
+        since = F.datediff(day, start)
+        months = (F.year(day) - 1900) * 12 + F.month(day)  # each with twelve days that are left out
+        place = F.when(day_first, DAYS + since - 12 * months).otherwise(since)
+        lefts, rights = (_long(F.lit(n)) for n in SLASH_PARTS)
+
+        def shown(made: Column) -> Column:
+            rest = made - DAYS
+            # the month in which the rest lies: about 18.4 days a month, at most one month off
+            about = F.floor(rest * 2400 / (SLASH_PARTS[0] * SLASH_PARTS[1] - DAYS)).cast("int")
+            before = lambda month: F.datediff(F.add_months(start, month), start) - 12 * month
+            month = F.greatest(*[F.when((m >= 0) & (before(m) <= rest), m).otherwise(0) for m in (about - 1, about, about + 1)])
+            late = _let(month, lambda m: F.date_add(F.add_months(start, m), rest - before(m) + 12))
+            return F.when(made < DAYS, F.date_format(F.date_add(start, made), "MM/dd/yyyy")).otherwise(F.date_format(late, "dd/MM/yyyy"))
+
+        def permuted(place: Column) -> Column:
+            left, right = self._feistel(F.floor(place / SLASH_PARTS[1]), place % SLASH_PARTS[1], lefts, rights, "slash date")
+            return (left * SLASH_PARTS[1] + right).cast("int")
+
+        return F.when(since.between(0, DAYS - 1), _let(_let(place, permuted), shown)).otherwise(match)
+
     def iban(self, match: Column) -> Column:
         """The digits after country and check digits are permuted and the check digits made anew."""
         compact = F.replace(match, F.lit(" "), F.lit(""))
@@ -150,14 +181,16 @@ class Pseudonyms:
             .when(match.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), self.date(match, "yyyy-MM-dd"))
             .when(match.rlike("^[0-9]{4}/[0-9]{2}/[0-9]{2}$"), self.date(match, "yyyy/MM/dd"))
             .when(match.rlike(r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$"), self.date(match, "dd.MM.yyyy"))
-            .when(
-                match.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
-                F.when(F.substring(match, 1, 2).cast("int") > 12, self.date(match, "dd/MM/yyyy")).otherwise(self.date(match, "MM/dd/yyyy")),
-            )
+            .when(match.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), self.slash_date(match))
             .otherwise(self.card(match))
         )
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is named there."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -210,8 +243,7 @@ def pseudonymized(docs: DataFrame, key: str, text_column: str = "text") -> DataF
     Card numbers (Luhn), IBANs (mod 97), phone numbers, IPv4 addresses, social security numbers and
     dates keep their format and stay valid; the same value becomes the same pseudonym everywhere,
     and different values of a format become different ones. (Written ``99/99/9999``, a first number
-    over 12 is a day, else a month; these two forms are permuted apart.) What fails its validation
-    stays. Addresses get a digest. Texts are read whole; null and empty ones, and those without a
+    over 12 is a day, else a month.) What fails its validation stays. Addresses get a digest. Texts are read whole; null and empty ones, and those without a
     match, stay as they are. Other columns are not touched. Without the key the pseudonyms cannot
     be undone; keep it out of shared plans.
     """

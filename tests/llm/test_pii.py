@@ -79,6 +79,18 @@ def test_permutation(spark):
     assert made.where("p between '1900-01-01' and '2099-12-31'").count() == 73049
 
 
+def test_slash_dates_are_one_permutation(spark):
+    """All 117,298 written days: a day after the twelfth can be written first, and no two share a pseudonym."""
+    start, names = F.lit("1900-01-01").cast("date"), pii.Pseudonyms("key")
+    day = spark.range(73049).select(F.date_add(start, F.col("id").cast("int")).alias("day"))
+    forms = day.select(F.date_format("day", "MM/dd/yyyy").alias("d")).union(day.where("day(day) > 12").select(F.date_format("day", "dd/MM/yyyy")))
+    written = forms.collect()
+    made = forms.select(names.slash_date(F.col("d")).alias("p")).collect()
+    assert len(written) == 117_298 and {r["p"] for r in made} == {r["d"] for r in written}
+    stay = spark.createDataFrame([("13/13/2000",), ("02/30/2000",), ("00/10/2000",), ("01/01/1899",), ("31/12/2100",)], "d string")
+    assert all(r["d"] == r["p"] for r in stay.select("d", names.slash_date(F.col("d")).alias("p")).collect())
+
+
 def test_long_texts(changed):
     text = "a" * 300_000 + " " + "1" * 200_000 + " 4111111111111111"
     (got,) = changed([text])
