@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -20,8 +21,9 @@ import oracle  # noqa: E402
 from loanlens.functions.numbers import round_half_up, sum_money  # noqa: E402
 from loanlens.lazy import Lazy  # noqa: E402
 from loanlens.operators import postings, retrieval  # noqa: E402
-from loanlens.plans import analysis, derive, marts, policy, quality, questions  # noqa: E402
-from loanlens.sources import corpus, store, tables  # noqa: E402
+from loanlens.plans import analysis, derive, marts, policy, quality, questions, states  # noqa: E402
+from loanlens.session import shared_folder, stored  # noqa: E402
+from loanlens.sources import buckets, corpus, store, tables  # noqa: E402
 from loanlens.sources.star_schema import StarSchema  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +230,51 @@ def collection_priority(spark: SparkSession, folder: str) -> DataFrame:
     return policy.collection_priority(_tables(spark, folder), promises=["purchase"])
 
 
+def _states(spark: SparkSession, folder: str) -> str:
+    """The folder of states of two loads: the loans of the last month, and their applications, come after all repayments."""
+    t = _tables(spark, folder)
+
+    def make() -> str:
+        target = f"{shared_folder(spark)}/states-{uuid.uuid4().hex}"
+        last = t["disbursements"].agg(F.trunc(F.max("disbursed_date"), "month")).scalar()
+        late = {"disbursements": F.col("disbursed_date") >= last, "loan_applications": F.col("application_date") >= last, "repayments": F.lit(False)}
+        for second in (False, True):
+            load = {name: t[name].where(F.coalesce(rows, F.lit(False)) == second) for name, rows in late.items()}
+            named = {"customers": t["customers"], "bureau_features": t["bureau_features"], "known_applications": t["loan_applications"]}
+            states.append(spark, named | load, target)
+        return target
+
+    return store.kept(spark, "states", [t["disbursements"], t["repayments"], t["loan_applications"]], make)
+
+
+def _from_states(name: str) -> Query:
+    return lambda spark, folder: states.mart(spark, _states(spark, folder), name)
+
+
+def distinct_loans_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    groupings = {"month and band": ("disbursed_month", "risk_band"), "month on book": ("mob",), "all": ()}
+    return states.loans_by(spark, _states(spark, folder), groupings)
+
+
+def enriched_from_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The repayments with their loans, from tables laid out by loan."""
+    t = _tables(spark, folder)
+
+    def make() -> tuple[DataFrame, DataFrame]:
+        target, mark = f"{shared_folder(spark)}/buckets-{uuid.uuid4().hex}", uuid.uuid4().hex[:12]
+        features = buckets.write_bucketed(marts.loan_features(t), target, f"loans_{mark}", "loan_id")
+        return buckets.write_bucketed(t["repayments"], target, f"repayments_{mark}", "loan_id"), features
+
+    return marts.repayment_enriched(*store.kept(spark, "buckets", [t["repayments"], t["disbursements"]], make))
+
+
+def frequent_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """The terms that a vocabulary of 5,000 keeps."""
+    documents = corpus.read_documents(spark, folder)
+    rows = store.kept(spark, "segments", [documents], lambda: stored(postings.segments(documents), "segments"))
+    return retrieval.frequent_terms(rows, 5000)[0]
+
+
 def risk_score_formula(spark: SparkSession, folder: str) -> DataFrame:
     return derive.risk_scores(_tables(spark, folder))
 
@@ -282,6 +329,12 @@ def _lending_queries() -> dict[str, Query]:
         "gold_portfolio_summary": _mart("gold_portfolio_summary"),
         "gold_dpd_bucket_analysis": _mart("gold_dpd_bucket_analysis"),
         "gold_vintage_analysis": _mart("gold_vintage_analysis"),
+        "vintage_from_states": _from_states("gold_vintage_analysis"),
+        "portfolio_from_states": _from_states("gold_portfolio_summary"),
+        "funnel_from_states": _from_states("gold_approval_funnel"),
+        "dpd_buckets_from_states": _from_states("gold_dpd_bucket_analysis"),
+        "distinct_loans_rollup": distinct_loans_rollup,
+        "enriched_from_buckets": enriched_from_buckets,
         "mart_row_counts": mart_row_counts,
         "adhoc_sql_mart": adhoc_sql_mart,
         "dq_null_rate": _checked("null_rates"),
@@ -303,6 +356,7 @@ def _lending_queries() -> dict[str, Query]:
         "chunk_tokens": chunk_tokens,
         "chunk_ngrams": chunk_ngrams,
         "tfidf_vocabulary": tfidf_vocabulary,
+        "frequent_vocabulary": frequent_vocabulary,
         "tfidf_weights": tfidf_weights,
         "tfidf_cosine": tfidf_cosine,
         "policy_top_k": policy_top_k,

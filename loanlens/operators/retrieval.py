@@ -38,6 +38,15 @@ SLACK = 1e-8
 DIGITS = 9
 
 
+#: The tables of a written index. Schemas are declared, so that an index without texts can be read.
+WRITTEN = {
+    "chunks": "source string, chunk_no int, text string",
+    "vocabulary": "term string, corpus_count long, df long, idf double, shelf int",
+    "postings": "term string, segment long, idf double, most double, chunks binary, tfs binary, shelf int",
+    "directory": "segment long, sources array<string>, firsts array<int>, befores array<int>, lengths binary",
+}
+
+
 @dataclass(frozen=True)
 class Index:
     chunks: DataFrame  # source, chunk_no, text
@@ -95,17 +104,50 @@ def number_of_chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap:
     return documents.select(made.alias("made")).agg(F.coalesce(F.sum("made"), F.lit(0))).scalar()
 
 
-def vocabulary(rows: DataFrame, n_chunks: Column, max_features: int | None = None) -> DataFrame:
-    """Every term of the segments' ``rows``, or the ``max_features`` with the highest total count, ties in alphabetical order.
-
-    A segment's counts are added up before the shuffle, so a frequent term is one row per segment.
-    """
+def vocabulary(rows: DataFrame, n_chunks: Column) -> DataFrame:
+    """Every term of the segments' ``rows``. A frequent term is one row per segment, and each task adds up its own."""
     counted = rows.where("term IS NOT NULL").groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"), F.sum("df").alias("df"))
-    if max_features is not None:
-        counted = counted.orderBy(F.desc("corpus_count"), "term").limit(max_features)
     return counted.withColumn("idf", F.log((n_chunks + 1.0) / (F.col("df") + 1.0)) + 1.0)
 
 
+def _summaries(most: int):
+    """Of each segment the ``most`` most frequent terms, and the highest count among the others as a row without a term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment in _per_segment(batches, "segment"):
+            counts = segment.column("corpus_count").to_numpy()
+            order = np.argsort(-counts, kind="stable")
+            first, others = order[:most], order[most:]
+            terms = _array(segment.column("term")).take(pa.array(first))
+            rest = int(counts[others[0]]) if len(others) else 0
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([terms, pa.nulls(1, pa.string())]), pa.array([*counts[first].tolist(), rest], pa.int64())], names=["term", "n"])
+
+    return run
+
+
+def frequent_terms(rows: DataFrame, number: int, most: int | None = None) -> tuple[DataFrame, bool]:
+    """``term, corpus_count`` of the ``number`` most frequent terms, ties in alphabetical order, and whether summaries sufficed.
+
+    Each segment gives its ``most`` most frequent terms. What they add up to is at most the sum of
+    the segments' highest other counts too low. So only terms that close to the ``number``-th can be
+    among the first; these candidates are counted in all segments, and no other term is shuffled.
+    Where that error is so large that a term outside all summaries could be among the first, all
+    terms are counted. Both ways are exact.
+    """
+    most = most or 4 * number
+    terms = rows.where("term IS NOT NULL").select("segment", "term", "corpus_count")
+    summary = stored(terms.mapInArrow(_summaries(most), "term string, n long"), "summaries")
+    error = summary.where("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = summary.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n"))
+    last = least.orderBy(F.desc("n")).limit(number).agg(F.min("n"), F.count(F.lit(1))).first()
+    sufficed = error == 0 or (last[1] == number and last[0] > error)
+    if sufficed:
+        candidates = least.where(F.col("n") + error >= (last[0] if last[1] == number else 0)).select("term")
+        terms = terms.join(candidates, "term", "left_semi")
+    counted = terms.groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"))
+    return counted.orderBy(F.desc("corpus_count"), "term").limit(number), sufficed
+
+
 def _with_idf(rows: DataFrame, n_chunks: Column) -> DataFrame:
     """The segments' rows with ``idf``, by one shuffle: a term's rows, one per segment, are neighbours. Slices of texts stay apart."""
     key = F.coalesce("term", F.format_string("\u0000%d", "segment"))
@@ -252,16 +294,16 @@ def _grown(documents: DataFrame, folder: str, before: dict[str, list[str]], max_
 
     passages = [*before["chunks"], written(chunks(documents), "chunks")]
     counted = [*before["segments"], written(p.segments(documents, stop_words, len(before["segments"])), "segments")]
-    rows = spark.read.parquet(*counted)
+    rows = spark.read.schema(p.ROWS).parquet(*counted)
     n_chunks = rows.agg(F.coalesce(F.sum("chunk_count"), F.lit(0))).scalar()
     if max_features is None:
         kept = rows
     else:
-        terms = written(vocabulary(rows, n_chunks, max_features).select("term"), "kept")
-        own = rows.where("term IS NOT NULL").join(spark.read.parquet(terms), "term", "left_semi")
+        terms = written(frequent_terms(rows, max_features)[0].select("term"), "kept")
+        own = rows.where("term IS NOT NULL").join(spark.read.schema("term string").parquet(terms), "term", "left_semi")
         kept = rows.where("term IS NULL").unionByName(own)
     found = _sorted_by(_with_idf(kept, n_chunks), "segment").mapInArrow(_indexed, INDEXED)
-    indexed = spark.read.parquet(written(found, "indexed"))
+    indexed = spark.read.schema(INDEXED).parquet(written(found, "indexed"))
     by_term = indexed.where("term IS NOT NULL")
     vocab = by_term.groupBy("term").agg(F.sum("corpus_count").alias("corpus_count"), F.sum("df").alias("df"), F.first("idf").alias("idf"))
     shelved = by_term.select(_shelf(F.col("term")).alias("shelf"), "term", "segment", "idf", "most", "chunks", "tfs")
@@ -281,7 +323,7 @@ def read_index(spark: SparkSession, folder: str) -> Index:
     found = snapshots.current(spark, folder)
     if found is None:
         raise ValueError(f"no index at {folder}")
-    return Index(*[spark.read.parquet(*found[name]) for name in ("chunks", "vocabulary", "postings", "directory")])
+    return Index(*[spark.read.schema(kinds).parquet(*found[name]) for name, kinds in WRITTEN.items()])
 
 
 def _shelf(term: Column) -> Column:
@@ -446,7 +488,8 @@ def best(scored: DataFrame, k: int) -> DataFrame:
 def retrieve(questions: DataFrame, index: Index, k: int = TOP_K) -> DataFrame:
     """The ``k`` best passages per question: ``question_id, rank, source, chunk_no, score``.
 
-    ``questions`` has distinct ``question_id, question``, any number of them.
+    ``questions`` has distinct ``question_id, question``, any number of them. Chunks of one source
+    and number, of a text that was given twice, are one hit.
     """
     scored = best(_scored(asked_terms(questions, index), index, "best", k, SCORED), k)
     # A question that meets fewer than k chunks is filled up with chunks of

@@ -8,12 +8,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.lending import dpd_bucket, is_approved, risk_band
 from loanlens.functions.numbers import percent, round_half_even_exact, round_half_up, sum_money
 from loanlens.operators.keys import orphan_count
+from loanlens.operators.moves import steps
 from loanlens.sources.tables import columns_of
 
 Tables = Mapping[str, DataFrame]
@@ -139,21 +140,18 @@ def orphan_rates(t: Tables, references: Sequence[tuple[str, str, str]] = REFEREN
 def roll_matrix(repayments: DataFrame) -> DataFrame:
     """How instalments move between DPD buckets from one month on book to the next of the same loan.
 
-    Repayments without a loan id have no previous one and are left out.
+    Repayments without a loan id have no previous one and are left out. A loan with very many
+    instalments is shared by several tasks.
     """
-    order = Window.partitionBy("loan_id").orderBy("mob", "due_date", "dpd")
-    place = lambda bucket: F.array_position(F.array(*map(F.lit, BUCKETS)), F.col(bucket))
-    step = place("to_bucket") - place("from_bucket")
-    moved = (
-        repayments.filter("loan_id IS NOT NULL")
-        .select("loan_id", "mob", "due_date", "dpd", dpd_bucket(F.col("dpd")).alias("to_bucket"))
-        .withColumn("from_bucket", F.lag("to_bucket").over(order))
-        .filter("from_bucket IS NOT NULL")
-    )
-    return (
-        moved.groupBy("from_bucket", "to_bucket")
-        .agg(F.count(F.lit(1)).alias("instalments"))
-        .withColumn("movement", F.when(step > 0, "forward").when(step < 0, "back").otherwise("same"))
+    names = F.array(*map(F.lit, BUCKETS))
+    placed = repayments.withColumn("state", F.array_position(names, dpd_bucket(F.col("dpd"))).cast("int"))
+    moved = steps(placed, "loan_id", "state", ["mob", "due_date", "dpd"])
+    step = F.col("went") - F.col("came")
+    return moved.select(
+        F.get(names, F.col("came") - 1).alias("from_bucket"),
+        F.get(names, F.col("went") - 1).alias("to_bucket"),
+        F.col("n").alias("instalments"),
+        F.when(step > 0, "forward").when(step < 0, "back").otherwise("same").alias("movement"),
     )
 
 

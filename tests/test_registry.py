@@ -36,6 +36,8 @@ def test_every_lending_query_has_sql():
 
 #: Queries over stored tables, which the first of them writes.
 STORED = {"tfidf_cosine", "policy_top_k", "citations_per_question", "question_answers", "answer_metrics", "evidence_json", "mart_row_counts"}
+STORED |= {"vintage_from_states", "portfolio_from_states", "funnel_from_states", "dpd_buckets_from_states", "distinct_loans_rollup"}
+STORED |= {"enriched_from_buckets", "frequent_vocabulary"}
 
 
 def test_describing_a_query_starts_no_job(spark, monkeypatch):

@@ -2,10 +2,12 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loanlens.functions.text import STOP_WORDS
-from loanlens.operators import retrieval
+from loanlens.operators import postings, retrieval
 from loanlens.sources.corpus import read_text_files
 
 CORPUS = {
@@ -134,3 +136,93 @@ def test_stop_words_cover_the_tokens_of_the_spark_list(spark):
 
     listed = StopWordsRemover.loadDefaultStopWords("english")
     assert set(STOP_WORDS) == {w for w in listed if re.fullmatch(r"\w\w+", w)}
+
+
+@pytest.fixture(scope="module")
+def real(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("cast(doc_id as string) source", "text")
+
+
+def test_appended_texts_weigh_as_if_they_had_always_been_there(spark, real, asked, tmp_path):
+    late = "pmod(hash(source), 3) = 0"
+    retrieval.write_index(real.where(f"not ({late})"), str(tmp_path))
+    grown = retrieval.append_documents(real.where(late), str(tmp_path))
+    whole = retrieval.tfidf_index(real)
+    key = lambda r: (r["source"], r["chunk_no"], r["term"], round(r["weight"], 9))
+    assert sorted(map(key, retrieval.normalized(grown).collect())) == sorted(map(key, retrieval.normalized(whole).collect()))
+    assert hits(retrieval.retrieve(asked, grown)) == hits(retrieval.retrieve(asked, whole))
+    assert grown.chunks.count() == whole.chunks.count()
+    flat = retrieval.weights(real).collect()
+    assert sorted(map(key, flat)) == sorted(map(key, retrieval.normalized(whole).collect()))
+
+
+def test_an_index_that_is_being_replaced_stays_readable(spark, documents, asked, tmp_path, monkeypatch):
+    retrieval.write_index(documents, str(tmp_path))
+    with monkeypatch.context() as patch:
+        patch.setattr(retrieval.snapshots, "publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            retrieval.append_documents(spark.createDataFrame([("z.md", "bureau score")], "source string, text string"), str(tmp_path))
+    assert hits(retrieval.retrieve(asked, retrieval.read_index(spark, str(tmp_path)))) == brute_retrieve()
+
+
+def test_questions_open_the_shelves_of_their_terms_only(spark, documents, tmp_path):
+    index = retrieval.write_index(documents, str(tmp_path))
+    one = spark.createDataFrame([("q", "bureau")], "question_id string, question string")
+    asked = retrieval.asked_terms(one, index)
+    read = retrieval._on_shelves(index.postings, asked)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shelf" in plan or "PartitionFilters: [shelf" in plan
+    assert read.select("shelf").distinct().count() == 1
+
+
+@pytest.mark.parametrize("seed", range(5))
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_bounds_leave_out_no_chunk_and_save_products(seed, k):
+    random = np.random.default_rng(seed)
+    size, entries = 5000, []
+    for term in range(30):
+        chunk = np.flatnonzero(random.random(size) < 0.9 / (30 - term) ** 1.2)
+        added = random.choice([0.25, 0.5, 1.0], len(chunk)) * 3 / (1 + term)
+        entries.append((float(added.max(initial=0)) + 0.0, chunk, added))
+    entries = [e for e in entries if len(e[1])]
+    every, scores, all_products = retrieval.best_chunks(entries, size, None)
+    found, best, products = retrieval.best_chunks(entries, size, k)
+    least = np.sort(scores)[-k]
+    want = {(int(c), float(s)) for c, s in zip(every, scores, strict=True) if s >= least}
+    assert want <= {(int(c), float(s)) for c, s in zip(found, best, strict=True)}
+    assert products < all_products / 2
+
+
+def test_frequent_terms_by_summaries_and_exactly(spark, real):
+    rows = postings.segments(real).persist()
+    every = rows.where("term is not null").groupBy("term").agg(F.sum("corpus_count").alias("n")).collect()
+    want = sorted(((r["term"], r["n"]) for r in every), key=lambda x: (-x[1], x[0]))
+    ways = set()
+    for number, most in ((1, 50), (20, 400), (200, 210), (500, 1), (10**6, 10)):
+        got, by_summaries = retrieval.frequent_terms(rows, number, most)
+        assert [tuple(r) for r in got.collect()] == want[:number]
+        ways.add(by_summaries)
+    assert ways == {True, False}
+
+
+def test_segments_of_any_size_count_alike(spark, real, monkeypatch):
+    def counted():
+        return Counter(tuple(r) for r in retrieval.chunk_term_counts(real).collect())
+
+    whole = counted()
+    monkeypatch.setattr(postings, "SEGMENT_CHUNKS", 7)
+    monkeypatch.setattr(postings, "SLICE", 3)
+    assert counted() == whole
+
+
+def test_odd_texts(spark):
+    texts = [(None, "one two"), ("a", None), ("b", ""), ("c", "x y z"), ("d", "Two words two words"), ("d", "Two words two words"), ("e", "w" * 100_000)]
+    df = spark.createDataFrame(texts, "source string, text string")
+    index = retrieval.tfidf_index(df)
+    want = Counter((s, t) for s, text in texts for t in brute_terms(text or ""))
+    assert Counter((r["source"], r["term"]) for r in retrieval.normalized(index).collect()) == want
+    empty = retrieval.tfidf_index(df.limit(0))
+    assert retrieval.normalized(empty).count() == 0
+    asked = spark.createDataFrame([("q", "two words")], "question_id string, question string")
+    assert retrieval.retrieve(asked, empty).count() == 0
+    assert retrieval.retrieve(asked, index).orderBy("rank").first()["source"] == "d"  # two equal rows are one hit
