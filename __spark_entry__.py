@@ -155,7 +155,7 @@ def chunk_ngrams(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    documents = corpus.read_documents(spark, folder)
+    documents = corpus.spread(corpus.read_documents(spark, folder))
     found = retrieval.vocabulary(postings.segments(documents), retrieval.number_of_chunks(documents))
     return found.withColumn("idf", F.round("idf", 6))
 
@@ -271,7 +271,7 @@ def enriched_from_buckets(spark: SparkSession, folder: str) -> DataFrame:
 def frequent_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     """The terms that a vocabulary of 5,000 keeps."""
     documents = corpus.read_documents(spark, folder)
-    rows = store.kept(spark, "segments", [documents], lambda: stored(postings.segments(documents), "segments"))
+    rows = store.kept(spark, "segments", [documents], lambda: stored(postings.segments(corpus.spread(documents)), "segments"))
     return retrieval.frequent_terms(rows, 5000)[0]
 
 

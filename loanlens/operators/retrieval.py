@@ -27,6 +27,7 @@ from loanlens.operators import postings as p
 from loanlens.operators.postings import MAX_WORDS, OVERLAP
 from loanlens.session import shared_folder, stored
 from loanlens.sources import snapshots
+from loanlens.sources.corpus import spread
 
 TOP_K = 3
 #: Shelves of the stored postings: a term's rows are on the shelf of its hash, and questions open their shelves only.
@@ -95,7 +96,7 @@ def term_counts(texts: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> Dat
 
 def chunk_term_counts(documents: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """``source, chunk_no, term, tf`` of the chunks of ``documents`` (``source, text``)."""
-    return p.flat_counts(documents, stop_words)
+    return p.flat_counts(spread(documents), stop_words)
 
 
 def number_of_chunks(documents: DataFrame, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> Column:
@@ -211,7 +212,7 @@ def _sorted_by(rows: DataFrame, *keys: str) -> DataFrame:
 
 def weights(documents: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """``source, chunk_no, term, weight``: every chunk's vector in unit length. Texts are read once for it, and once to count words."""
-    rows = _with_idf(p.segments(documents, stop_words), number_of_chunks(documents))
+    rows = _with_idf(p.segments(spread(documents), stop_words), number_of_chunks(spread(documents)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment in _per_segment(batches, "segment"):
@@ -285,7 +286,7 @@ def append_documents(documents: DataFrame, folder: str, max_features: int | None
 
 def _grown(documents: DataFrame, folder: str, before: dict[str, list[str]], max_features: int | None, stop_words: Sequence[str]) -> Index:
     """Each table is derived from those already on disk, and new texts are read once for counts and once for passages."""
-    spark, version = documents.sparkSession, snapshots.new_version()
+    spark, version, documents = documents.sparkSession, snapshots.new_version(), spread(documents)
 
     def written(df: DataFrame, name: str, *shelf: str) -> str:
         path = f"{folder}/versions/{version}/{name}.parquet"
