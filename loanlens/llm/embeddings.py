@@ -70,7 +70,8 @@ def near_duplicates(
     Cells are put together to groups, groups of any size are cut into blocks, and each pair of
     blocks is a task's work: its product adds to the counts and leaves a spanning set of its links. Vectors that are null, empty, zero
     or not finite link with nothing and stand for themselves. Vectors of other widths are taken as
-    ending in zeros. Null ids are counted as links but are no component.
+    ending in zeros. Null ids are counted as links but are no component. Repeated rows count as often
+    as they occur. Other columns are not read, so none can clash. No rows, no result.
     """
     rows = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("vector"))
     good = rows.where(usable(rows, "vector"))

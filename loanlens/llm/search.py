@@ -179,7 +179,8 @@ def search(index: DataFrame, queries: DataFrame, id_column: str, text_column: st
     collection, so the shards' answers merge by sorting. Each query meets each shard in a group of
     its own that holds the postings of the query's terms there, bounded by the shard's size.
 
-    Queries that are null or empty have no answers. Ties go to the smaller ``doc_id``, null last.
+    Queries that are null or empty have no answers. Ties go to the smaller ``doc_id``, null last;
+    repeated rows are answers of their own. Other columns are not read; an empty index has no answers.
     """
     shards = index.where("term is null")
     size = shards.agg(F.sum(F.size("ids")), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()

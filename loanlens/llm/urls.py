@@ -146,7 +146,8 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, seeds: Se
 
     The rules hold where one fits; the classifier judges the rest: block if the odds are above
     zero. A URL without words, a null one too, is allowed. Each URL is judged once, however many
-    rows have it; repeated rows stay.
+    rows have it; repeated rows stay. Other columns are not read, so none can clash. No pages, no
+    verdicts.
     """
     counts = stored(word_counts(pages), "word-counts")
     urls = pages.where(F.col("url").isNotNull()).select("url").distinct()

@@ -124,7 +124,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
     ``folder`` must be reachable from all executors by a file system that pyarrow knows. Each task
     writes one archive under a name of its own and hands over its index rows when it ends; an
-    archive of a task that was lost or repeated is in no index. The index is a Parquet table of
+    archive of a task that was lost or repeated is in no index. Other columns of ``pages`` are not
+    read, so none can clash; no pages, no records. A payload of any length is one record. The index is a Parquet table of
     archive, offset, length, id, URL, digest and type.
     """
     system, path = _file_system(folder)

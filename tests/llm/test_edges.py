@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_edges import EDGES
-from loanlens.llm import mixing, packing, pii, quality, search, sharding, simhash
+from loanlens.llm import embeddings, mixing, packing, pii, quality, search, sharding, simhash, urls, warc
 from loanlens.llm.queries import tokenizer_path
 
 
@@ -81,3 +81,57 @@ def test_accepted_keeps_columns(documents):
     labels = docs.sparkSession.createDataFrame([], "doc_id long, quality int")
     assert quality.accepted(docs, labels).columns == docs.columns
     assert quality.accepted(docs, labels).count() == len(EDGES)  # without labels every score is 0.5
+
+
+def test_vectors_repeated_and_clashing(spark):
+    schema = "vec_id long, embedding array<double>, n_links string, component_id string, kept string, vector int, id int, node int"
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (None, [0.0, 1.0])]
+    df = spark.createDataFrame([(i, v, "x", "x", "x", 7, 7, 7) for i, v in rows], schema)
+    got = sorted(((r["id"] is None, r["id"] or 0), r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(df).collect())
+    assert got == [((False, 1), 2, 1, True)] * 2 + [((False, 2), 2, 1, False), ((False, 3), 1, 3, True), ((True, 0), 1, 3, False)]
+    assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_pages_with_clashing_columns(spark):
+    schema = "page_id long, url string, html string, host string, path string, rule string, verdict string, odds string, word string, n long"
+    long = "http://x.com/" + "casinonews" * 3000
+    rows = [(1, "http://a.net/b", "<p>casino news</p>"), (1, "http://a.net/b", "<p>casino news</p>"), (2, None, None), (None, long, "")]
+    pages = spark.createDataFrame([(*r, *["x"] * 6, 7) for r in rows], schema)
+    got = urls.judged(pages).select("page_id", "host", "path", "rule", "verdict").collect()
+    plain = urls.judged(pages.select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert Counter(map(str, got)) == Counter(map(str, plain))
+    assert Counter((r["page_id"], r["host"], r["rule"]) for r in got) == {(1, "a.net", "net/"): 2, (2, "", None): 1, (None, "x.com", None): 1}
+
+
+def test_archives_of_long_and_clashing_pages(spark):
+    schema = "page_id long, url string, html string, payload string, payload_digest string, keeper int, archive int, offset int, refers_to int"
+    long = "é" * 3_000_000
+    rows = [(1, "u", long), (2, "v", long), (3, None, None), (3, None, None)]
+    pages = spark.createDataFrame([(*r, "x", "x", 7, 7, 7, 7) for r in rows], schema)
+    folder = warc.new_folder(spark)
+    got = warc.read_records(warc.write_archives(pages, folder), folder).collect()
+    told = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got)
+    assert told == {(1, 6_000_000, "revisit", 2): 1, (2, 6_000_000, "response", None): 1, (3, 0, "response", None): 2}
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_the_pipeline_bears_odd_and_no_documents(spark, documents, tmp_path, clashing):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, 1, 0), (7, 0, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, rows in (("odd", EDGES), ("none", [])):
+        docs, before = documents(rows, clashing), None
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            if number:
+                assert docs.columns == before
+            before = docs.columns
+            stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}-{number}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}-{number}")
+        assert "sequence_id" in docs.columns and (docs.count() > 0) == bool(rows)
+
+
+def test_near_dedup_in_a_session_that_used_its_parts_before(spark, documents):
+    """Functions that travel to tasks stay fit to travel once they have been used."""
+    docs = documents(EDGES)
+    first = simhash.with_classes(docs).count()
+    assert simhash.one_of_each(docs).count() < first == simhash.near_duplicates(docs).count()
