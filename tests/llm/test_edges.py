@@ -114,13 +114,12 @@ def test_archives_of_long_and_clashing_pages(spark):
     assert told == {(1, 6_000_000, "revisit", 2): 1, (2, 6_000_000, "response", None): 1, (3, 0, "response", None): 2}
 
 
-@pytest.mark.parametrize("clashing", [False, True])
-def test_the_pipeline_bears_odd_and_no_documents(spark, documents, tmp_path, clashing):
+def test_the_pipeline_bears_odd_and_no_documents(spark, documents, tmp_path):
     import corpus_pipeline
 
     spark.createDataFrame([(1, 1, 0), (7, 0, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for name, rows in (("odd", EDGES), ("none", [])):
-        docs, before = documents(rows, clashing), None
+        docs, before = documents(rows, True), None
         for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
             if number:
                 assert docs.columns == before
