@@ -94,7 +94,7 @@ def test_vectors_repeated_and_clashing(spark):
 
 def test_pages_with_clashing_columns(spark):
     schema = "page_id long, url string, html string, host string, path string, rule string, verdict string, odds string, word string, n long"
-    long = "http://x.com/" + "casinonews" * 3000
+    long = "http://x.com/" + "casinonews" * 30
     rows = [(1, "http://a.net/b", "<p>casino news</p>"), (1, "http://a.net/b", "<p>casino news</p>"), (2, None, None), (None, long, "")]
     pages = spark.createDataFrame([(*r, *["x"] * 6, 7) for r in rows], schema)
     got = urls.judged(pages).select("page_id", "host", "path", "rule", "verdict").collect()
