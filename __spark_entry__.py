@@ -21,7 +21,7 @@ import oracle  # noqa: E402
 from loanlens.functions.numbers import round_half_up, sum_money  # noqa: E402
 from loanlens.lazy import Lazy  # noqa: E402
 from loanlens.operators import postings, retrieval  # noqa: E402
-from loanlens.plans import analysis, derive, marts, policy, quality, questions, states  # noqa: E402
+from loanlens.plans import analysis, derive, marts, policy, profiles, quality, questions, states  # noqa: E402
 from loanlens.session import shared_folder, stored  # noqa: E402
 from loanlens.sources import buckets, corpus, store, tables  # noqa: E402
 from loanlens.sources.star_schema import StarSchema  # noqa: E402
@@ -251,6 +251,30 @@ def _from_states(name: str) -> Query:
     return lambda spark, folder: states.mart(spark, _states(spark, folder), name)
 
 
+def _profiles(spark: SparkSession, folder: str) -> str:
+    """The folder of profiles of three loads: rows by the month of their date, so that many come before the rows they refer to."""
+    t = _tables(spark, folder)
+    dates = {"loan_applications": "application_date", "disbursements": "disbursed_date", "repayments": "due_date", "collection_calls": "call_date"}
+
+    def make() -> str:
+        target = f"{shared_folder(spark)}/profiles-{uuid.uuid4().hex}"
+        for load in range(3):
+            rows = {name: t[name].where(F.coalesce(F.month(date) % 3, F.lit(0)) == load) for name, date in dates.items()}
+            first = {name: t[name] for name in ("customers", "bureau_features")} if load == 0 else {}
+            profiles.append(spark, first | rows, target)
+        return target
+
+    return store.kept(spark, "profiles", [t[name] for name in ("customers", *dates)], make)
+
+
+def quality_report_from_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles.report(spark, _profiles(spark, folder))
+
+
+def profile_history(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles.history(spark, _profiles(spark, folder))
+
+
 def distinct_loans_rollup(spark: SparkSession, folder: str) -> DataFrame:
     groupings = {"month and band": ("disbursed_month", "risk_band"), "month on book": ("mob",), "all": ()}
     return states.loans_by(spark, _states(spark, folder), groupings)
@@ -335,6 +359,8 @@ def _lending_queries() -> dict[str, Query]:
         "dpd_buckets_from_states": _from_states("gold_dpd_bucket_analysis"),
         "distinct_loans_rollup": distinct_loans_rollup,
         "enriched_from_buckets": enriched_from_buckets,
+        "quality_report_from_profiles": quality_report_from_profiles,
+        "profile_history": profile_history,
         "mart_row_counts": mart_row_counts,
         "adhoc_sql_mart": adhoc_sql_mart,
         "dq_null_rate": _checked("null_rates"),

@@ -31,6 +31,11 @@ PRIMARY_KEYS = {
     "collection_calls": "call_id",
 }
 SCHEDULE_KEY = ["loan_id", "due_date", "mob"]
+# Referring table: the table referred to, the key, and the wording.
+REFERENCES = {
+    "loan_applications": ("customers", "customer_id", "Applications with missing customer_id"),
+    "repayments": ("disbursements", "loan_id", "Repayments with missing loan_id"),
+}
 MAX_NULL_PERCENT = 5
 MAX_DROP_POINTS = 5
 MAX_PRINCIPAL = 500_000
@@ -92,11 +97,11 @@ def _table_rules(t: Tables, *kinds: str) -> DataFrame:
     """The rules that need one table only, in one scan of each."""
     tables = dict.fromkeys([*NULL_CHECKED, *PRIMARY_KEYS])
     parts = [part for table in tables if (part := _counts(t, table, kinds)) is not None]
-    rates = (
-        reduce(DataFrame.unionByName, parts)
-        .selectExpr("*", "100D * found / GREATEST(total, 1) AS share")
-        .withColumn("rate", round_half_even_exact("share", 3))
-    )
+    return _rated(reduce(DataFrame.unionByName, parts))
+
+
+def _rated(counts: DataFrame) -> DataFrame:
+    rates = counts.selectExpr("*", "100D * found / GREATEST(total, 1) AS share").withColumn("rate", round_half_even_exact("share", 3))
 
     def by_kind(nulls: str, keys: str, outliers: str) -> str:
         return f"CASE kind WHEN '{NULLS}' THEN {nulls} WHEN '{KEYS}' THEN {keys} ELSE {outliers} END"
@@ -118,8 +123,12 @@ def _table_rules(t: Tables, *kinds: str) -> DataFrame:
 
 def _schedule_key_duplicates(t: Tables) -> DataFrame:
     """Counts the keys that occur more than once, not their surplus rows."""
+    return _repeated(duplicate_key_groups(t["repayments"], SCHEDULE_KEY))
+
+
+def _repeated(found: DataFrame) -> DataFrame:
     return _measured(
-        duplicate_key_groups(t["repayments"], SCHEDULE_KEY),
+        found,
         "'repayments'",
         "'duplicate_repayment_schedule_key'",
         "'HIGH'",
@@ -129,17 +138,22 @@ def _schedule_key_duplicates(t: Tables) -> DataFrame:
     )
 
 
-def _orphans(t: Tables, child: str, parent: str, key: str, details: str) -> DataFrame:
-    found = orphan_count(t[child], t[parent], key)
+def _orphans(t: Tables, child: str) -> DataFrame:
+    parent, key, _ = REFERENCES[child]
+    return _orphaned(orphan_count(t[child], t[parent], key), child)
+
+
+def _orphaned(found: DataFrame, child: str) -> DataFrame:
+    _, key, details = REFERENCES[child]
     return _measured(found, f"'{child}'", f"'fk_{key}_exists'", "'CRITICAL'", "orphans <> 0", "orphans", f"'{details}'")
 
 
 def _applications_without_customer(t: Tables) -> DataFrame:
-    return _orphans(t, "loan_applications", "customers", "customer_id", "Applications with missing customer_id")
+    return _orphans(t, "loan_applications")
 
 
 def _repayments_without_loan(t: Tables) -> DataFrame:
-    return _orphans(t, "repayments", "disbursements", "loan_id", "Repayments with missing loan_id")
+    return _orphans(t, "repayments")
 
 
 def _approval_monthly_drop(t: Tables) -> DataFrame:
@@ -148,11 +162,18 @@ def _approval_monthly_drop(t: Tables) -> DataFrame:
     The rows collapse to one per month first; only the two newest of those are
     gathered.
     """
-    monthly = (
-        t["loan_applications"]
-        .groupBy(month_of(F.col("application_date")).alias("month"))
-        .agg(percent(F.sum(is_approved(F.col("approval_status"))), F.count(F.lit(1))).alias("rate"))
-    )
+    return _newest_drop(approvals_by_month(t["loan_applications"]))
+
+
+def approvals_by_month(applications: DataFrame) -> DataFrame:
+    """``month, approved, total``; applications without a date are a month of their own."""
+    month = month_of(F.col("application_date")).alias("month")
+    approved = F.sum(is_approved(F.col("approval_status")).cast("long")).alias("approved")
+    return applications.groupBy(month).agg(approved, F.count(F.lit(1)).alias("total"))
+
+
+def _newest_drop(months: DataFrame) -> DataFrame:
+    monthly = months.select("month", percent(F.col("approved"), F.col("total")).alias("rate"))
     newest_two = monthly.orderBy(F.desc_nulls_last("month")).limit(2)
     change = (
         newest_two.agg(F.expr("SORT_ARRAY(COLLECT_LIST(STRUCT(month, rate)), false)").alias("r"))
@@ -195,6 +216,12 @@ def report(t: Tables) -> DataFrame:
     return _graded([_table_rules(t, NULLS, KEYS, OUTLIERS), *[measure(t) for measure in across]])
 
 
+def report_of(counts: DataFrame, repeated: DataFrame, orphans: Mapping[str, DataFrame], months: DataFrame) -> DataFrame:
+    """The report from what was counted before: ``checked, total, kind, name, found``, one row ``repeated``,
+    one row ``orphans`` per referring table, and ``month, approved, total``."""
+    return _graded([_rated(counts), _repeated(repeated), *[_orphaned(found, child) for child, found in orphans.items()], _newest_drop(months)])
+
+
 def severity_rank(severity: Column) -> Column:
     (first, one), (second, two) = SEVERITY_ORDER.items()
     return F.when(severity == first, one).when(severity == second, two).otherwise(3)
