@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from bisect import insort
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 SEEDS = ("adult", "ads", "bets", "casino", "lottery", "pills", "poker", "porn", "spam", "viagra", "xxx")
 SMOOTHING = 1.0
 NUMBER = "0"
+#: Letters of the parts that a task hands over at a time.
+PART_LETTERS = 1 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -68,19 +72,17 @@ def viterbi(name: str, found: dict[tuple[int, int], int], total: int) -> list[st
     for (start, size), count in found.items():
         ending.setdefault(start + size, []).append((start, count))
     letter, unknown = math.log(10), -math.log(max(total, 1))
-    open_ = (0.0, 0, 0)  # the best start of a part that is no word, the same for all ends
+    opens = [(0.0, 0, 0)]  # starts of a part that is no word, the best last; their order is the same for all ends
     for end in range(1, len(name) + 1):
         known = ending.get(end, [])
         ways = [(round(best[start][0] + math.log(count / total), 9), best[start][1] - 1, -start) for start, count in known]
-        ahead, fewer, back = open_
-        if (-back, end + back) not in found:
-            ways.append((round(ahead + unknown - end * letter, 9), fewer - 1, back))
-        else:  # a word, which may be less likely than the same letters as none
-            starts = (s for s in range(end) if (s, end - s) not in found)
-            ways += [(round(best[s][0] + unknown - (end - s) * letter, 9), best[s][1] - 1, -s) for s in starts]
+        for ahead, fewer, back in reversed(opens):
+            if (-back, end + back) not in found:  # else it is a word, which may be less likely than the same letters as none
+                ways.append((round(ahead + unknown - end * letter, 9), fewer - 1, back))
+                break
         score, fewer, start = max(ways)
         best.append((score, fewer, -start))
-        open_ = max(open_, (round(score + end * letter, 9), fewer, -end))
+        insort(opens, (round(score + end * letter, 9), fewer, -end))
     words, end = [], len(name)
     while end:
         start = best[end][2]
@@ -92,25 +94,37 @@ def viterbi(name: str, found: dict[tuple[int, int], int], total: int) -> list[st
 def segmented(found_names: DataFrame, counts: DataFrame) -> DataFrame:
     """``name, words`` for distinct ``name``: only parts of names are looked up among the counts.
 
-    A part is as long as the longest counted word at most, so a long run stays linear. Numbers stay
-    one word.
+    A part has the length of a counted word; there are few different lengths, so the parts of a long
+    run of letters grow with its length. They go by a digest of their name. Numbers stay one word.
     """
-    total, longest = (n or 0 for n in counts.agg(F.sum("n"), F.max(F.length("word"))).first())
+    lengths = counts.where("word <> ''").groupBy(F.length("word").alias("size")).agg(F.sum("n").alias("n")).collect()
+    total, sizes = sum(r["n"] for r in lengths), sorted(r["size"] for r in lengths)
     whole = F.col("name") == NUMBER
-    starts = F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at")
-    sized = found_names.where(~whole).select("name", starts).select(
-        "name", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(1, longest)), F.length("name") - F.col("at") + 1))).alias("size")
-    )
-    parts = sized.withColumn("word", F.substring("name", F.col("at"), F.col("size")))
-    known = parts.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("at", "size", "n")).alias("parts"))
+    named = found_names.where(~whole).withColumn("digest", F.sha2(F.col("name"), 256))
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("digest", pa.string()), ("at", pa.int32()), ("word", pa.string())])
+        for batch in batches:
+            for name, digest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for size in sizes:
+                    step = max(1, PART_LETTERS // size)
+                    for first in range(0, len(name) - size + 1, step):
+                        places = range(first, min(first + step, len(name) - size + 1))
+                        words = [name[at : at + size] for at in places]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([digest] * len(words)), pa.array(places, pa.int32()), pa.array(words, pa.string())], schema=schema
+                        )
+
+    parts = named.select("name", "digest").mapInArrow(cut_out, "digest string, at int, word string")
+    known = parts.join(counts, "word").groupBy("digest").agg(F.collect_list(F.struct("at", F.length("word").alias("size"), "n")).alias("parts"))
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            lists = frame["parts"].map(lambda ps: {} if ps is None else {(p["at"] - 1, p["size"]): p["n"] for p in ps})
+            lists = frame["parts"].map(lambda ps: {} if ps is None else {(p["at"], p["size"]): p["n"] for p in ps})
             words = [viterbi(name, found, total) for name, found in zip(frame["name"], lists, strict=True)]
             yield pd.DataFrame({"name": frame["name"], "words": words})
 
-    cut = found_names.where(~whole).join(known, "name", "left").mapInPandas(split, "name string, words array<string>")
+    cut = named.join(known, "digest", "left").select("name", "parts").mapInPandas(split, "name string, words array<string>")
     return cut.unionByName(found_names.where(whole).select("name", F.array("name").alias("words")))
 
 

@@ -69,3 +69,35 @@ def test_words_and_names_of_any_length(spark, words):
     pages = spark.createDataFrame([(0, "http://x.com/", html)], "page_id long, url string, html string")
     name = spark.createDataFrame([("".join(words),)], "name string")
     assert urls.segmented(name, urls.word_counts(pages)).first()["words"] == words
+
+
+def test_a_run_of_thirty_thousand_letters(spark):
+    counts = spark.createDataFrame([("casino", 5), ("news", 9)], "word string, n long")
+    name = spark.createDataFrame([("casinonews" * 3000,), ("0",)], "name string")
+    got = {len(r["name"]): r["words"] for r in urls.segmented(name, counts).collect()}
+    assert got == {30_000: ["casino", "news"] * 3000, 1: ["0"]}
+
+
+def test_odds_and_verdicts_of_all_pages_are_those_of_plain_naive_bayes(spark):
+    """Words as segmented, counts and odds in plain Python, over every given page."""
+    from collections import Counter
+    from math import log
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    counts = urls.word_counts(pages)
+    named = pages.where("url IS NOT NULL").select("url", urls.names(urls.host(F.col("url")), urls.path(F.col("url"))).alias("names")).distinct().collect()
+    each = spark.createDataFrame([(n,) for n in sorted({n for r in named for n in r["names"]})], "name string")
+    words = {r["name"]: r["words"] for r in urls.segmented(each, counts).collect()}
+    of = {r["url"]: [w for n in r["names"] for w in words[n]] for r in named}
+    bad = {u for u, ws in of.items() if set(ws) & set(urls.SEEDS)}
+    seen = {side: Counter(w for u, ws in of.items() if (u in bad) == side for w in ws) for side in (True, False)}
+    kinds = len(seen[True] | seen[False])
+    chance = lambda w, side: log((seen[side][w] + 1) / (seen[side].total() + kinds))
+    prior = log((len(bad) + 1) / (len(of) - len(bad) + 1))
+    odds = {u: prior + sum(chance(w, True) - chance(w, False) for w in ws) for u, ws in of.items()}
+    got = urls.judged(pages).join(pages.select("page_id", "url"), "page_id").collect()
+    assert len(got) == pages.count() and bad
+    for row in got:
+        assert row["odds"] == pytest.approx(odds[row["url"]], abs=1e-5)
+        if row["rule"] is None:
+            assert row["verdict"] == ("block" if odds[row["url"]] > 0 else "allow")
