@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,14 @@ def test_findings_without_rows_fall_back(spark, world):
     assert "No critical DQ rule returned / NA" in got["incident"]["finding"]
 
 
+def test_the_portfolio_finding_covers_more_segments_than_are_displayed(spark):
+    kinds = "disbursed_month date, product string, channel string, risk_band string, loans long, principal_disbursed double, avg_risk_score double, avg_bureau_score double"
+    data = [(date(2026, 1 + i % 3, 1), f"p{i}", "App", "Low", 2, 1000.0 * i, 300.0, 600.0) for i in range(1, 16)]
+    found = questions.portfolio_finding(spark.createDataFrame(data, kinds)).first()["finding"]
+    assert "covers **30 loans**" in found and "about **₹120000.0** disbursed" in found
+    assert "**p15 / App / Low**" in found
+
+
 def test_evidence_rows_and_json_agree(spark, world):
     gold, checks = world
     q = asked(spark, DEMO_QUESTIONS)
