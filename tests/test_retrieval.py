@@ -226,3 +226,27 @@ def test_odd_texts(spark):
     asked = spark.createDataFrame([("q", "two words")], "question_id string, question string")
     assert retrieval.retrieve(asked, empty).count() == 0
     assert retrieval.retrieve(asked, index).orderBy("rank").first()["source"] == "d"  # two equal rows are one hit
+
+
+def test_packed_segments_hold_what_plain_ones_hold(spark, real):
+    plain = [(r["term"], r["corpus_count"], r["df"], bytes(r["chunks"]), bytes(r["tfs"])) for r in postings.segments(real.coalesce(1)).where("term IS NOT NULL").collect()]
+    packed = []
+    for row in postings.packs(real.coalesce(1)).where("part >= 0").collect():
+        df, total = postings.unpack_counts(bytes(row["counts"]))
+        starts, chunk, tf = postings.unpack_places(df, bytes(row["chunks"]), bytes(row["tfs"]))
+        terms = postings.unpack_terms(row["number"], bytes(row["terms"])).to_pylist()
+        parts = spark.createDataFrame([(t,) for t in terms[:3]], "term string").select(postings.part_of(F.col("term"))).distinct().collect() if row["part"] < 3 else [[row["part"]]]
+        assert [r[0] for r in parts] == [row["part"]]
+        for i, term in enumerate(terms):
+            own = slice(starts[i], starts[i + 1])
+            packed.append((term, int(total[i]), int(df[i]), np.diff(chunk[own], prepend=0).astype("<u2").tobytes(), tf[own].tolist()))
+    flat = sorted((*r[:4], postings.decoded(r[3], r[4])[1].tolist()) for r in plain)
+    assert sorted(packed) == flat
+
+
+def test_an_index_writes_no_row_per_term_and_segment(spark, tmp_path):
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("cast(doc_id as string) source", "text")
+    index = retrieval.write_index(texts, str(tmp_path))
+    most = index.directory.count() * (postings.PARTS + 1)
+    assert index.postings.count() <= most and index.frequencies.count() <= most + postings.PARTS
+    assert index.vocabulary.count() > 10 * most
