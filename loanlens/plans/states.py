@@ -11,17 +11,20 @@ repayments without a loan; the load that brings the loan moves them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from loanlens.functions.lending import is_approved, month_of
+from loanlens.functions.lending import dpd_bucket, is_30_plus, is_approved, month_of
 from loanlens.functions.numbers import WIDE, percent, round_half_up
 from loanlens.operators.numbers import bitmaps, dense_numbers, distinct_counts, same
 from loanlens.plans import marts
 from loanlens.sources import snapshots
+from loanlens.sources.store import AT_ONCE
 
 Tables = Mapping[str, DataFrame]
 
@@ -103,6 +106,28 @@ ROLLUPS = {
 OF_REPAYMENTS = ("gold_dpd_bucket_analysis", "gold_vintage_analysis")
 
 
+#: What the marts of repayments know of a loan.
+OF_LOAN = ("disbursed_month", "product", "channel", "risk_band", "number")
+
+
+def _slim(enriched: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Repayments with what the marts need, ``waits`` if there is no loan yet; of others the month of ``due_date`` is enough and no loan or day of payment."""
+    waits = F.col("number").isNull()
+    shown = {"loan_id": F.when(waits, F.col("loan_id")), "paid_date": F.when(waits, F.col("paid_date"))}
+    shown["due_date"] = F.when(waits, F.col("due_date")).otherwise(month_of(F.col("due_date")))
+    return enriched.select(*[shown.get(c, F.col(c)).alias(c) for c in columns], *OF_LOAN, waits.alias("waits"))
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"due_month": month_of(F.col("due_date")), "dpd_bucket": dpd_bucket(F.col("dpd")), "is_30_plus_dpd": is_30_plus(F.col("dpd"))})
+
+
+def _waiting(repayments: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """Repayments that still wait for their loan; of the folder only their part is opened."""
+    kinds = StructType([*repayments.schema.fields, StructField("waits", BooleanType())])
+    return repayments.sparkSession.read.schema(kinds).parquet(*paths).where("waits").drop("waits")
+
+
 def append(spark: SparkSession, t: Tables, folder: str) -> None:
     """Add new rows of the lending tables to the states at ``folder``.
 
@@ -114,11 +139,10 @@ def append(spark: SparkSession, t: Tables, folder: str) -> None:
     before, version = snapshots.current(spark, folder) or {}, snapshots.new_version()
     made: dict[str, list[str]] = {name: list(paths) for name, paths in before.items() if not name.startswith("waiting")}
 
-    def written(df: DataFrame, name: str, belongs: bool = True) -> DataFrame:
+    def written(df: DataFrame, name: str) -> DataFrame:
         path = f"{folder}/versions/{version}/{name}.parquet"
         df.write.parquet(path)
-        if belongs:
-            made.setdefault(name, []).append(path)
+        made.setdefault(name, []).append(path)
         return spark.read.schema(df.schema).parquet(path)
 
     loans_before = spark.read.parquet(*before["loans"]).count() if before else 0
@@ -131,27 +155,36 @@ def append(spark: SparkSession, t: Tables, folder: str) -> None:
 
     repayments = t["repayments"]
     if before:
-        repayments = repayments.unionByName(spark.read.parquet(*before["waiting"]).select(*repayments.columns))
+        repayments = repayments.unionByName(_waiting(repayments, before["waiting"]))
     enriched = marts.repayment_enriched(repayments, loans).join(loans.select("loan_id", "number"), "loan_id", "left")
-    enriched = written(enriched.withColumn("due_month", month_of(F.col("due_date"))), "enriched", belongs=False)
-    found, waiting = enriched.where("number IS NOT NULL"), enriched.where("number IS NULL").drop("number")
+    enriched = _slim(enriched, repayments.columns)
+    path = f"{folder}/versions/{version}/waiting.parquet"  # rows with a loan lie beside those that wait, and no load reads them
+    enriched.write.partitionBy("waits").parquet(path)
+    made["waiting"] = [path]
+    told = _told(spark.read.schema(enriched.schema).parquet(path))
+    found, waiting = told.where("NOT waits"), told.where("waits")
 
     applications = t["loan_applications"].join(t["customers"].select("customer_id", "employment_type", "credit_segment"), "customer_id", "left")
     funnel = applications.withColumns(
         {"application_month": month_of(F.col("application_date")), "approved": is_approved(F.col("approval_status"))}
     )
     rows = {"gold_approval_funnel": funnel, "gold_portfolio_summary": fresh, **dict.fromkeys(OF_REPAYMENTS, found)}
+    states: dict[str, DataFrame] = {}
     for name, rollup in ROLLUPS.items():
-        written(rollup.state(rows[name]), f"{name}/sums")
+        states[f"{name}/sums"] = rollup.state(rows[name])
         if rollup.loans:
-            written(bitmaps(rows[name], rollup.keys), f"{name}/loans")
-    # what waits is told anew by every load, under numbers that no loan has yet
-    kept = written(waiting, "waiting")
-    told = kept.join(dense_numbers(kept, "loan_id", loans.count() + 1), "loan_id", "left")
+            states[f"{name}/loans"] = bitmaps(rows[name], rollup.keys)
+    # what waits is told anew by every load, under numbers that no loan has yet; only sets of loans need the numbers
     for name in OF_REPAYMENTS:
-        written(ROLLUPS[name].state(told), f"waiting {name}/sums")
-        if ROLLUPS[name].loans:
-            written(bitmaps(told, ROLLUPS[name].keys), f"waiting {name}/loans")
+        rollup = ROLLUPS[name]
+        states[f"waiting {name}/sums"] = rollup.state(waiting)
+        if rollup.loans:
+            unnumbered = waiting.select("loan_id", *rollup.keys).distinct()
+            numbered = unnumbered.join(dense_numbers(waiting, "loan_id", loans.count() + 1), "loan_id", "left")
+            states[f"waiting {name}/loans"] = bitmaps(numbered, rollup.keys)
+    with ThreadPoolExecutor(AT_ONCE) as threads:  # states side by side; each still uses the whole cluster
+        for done in [threads.submit(written, df, name) for name, df in states.items()]:
+            done.result()
     snapshots.publish(spark, folder, version, made)
 
 

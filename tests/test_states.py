@@ -149,3 +149,16 @@ def test_a_hot_loan_is_shared_by_tasks(spark):
     assert matrix.agg(F.sum("instalments")).first()[0] == len(plain) - 1
     parts = data.repartitionByRange(8, "loan_id", "mob").where("loan_id = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert parts >= 4
+
+
+def test_repayments_are_written_once_and_without_what_no_mart_needs(spark, lending, tmp_path):
+    folder = str(tmp_path)
+    for load in loads(lending, 2):
+        states.append(spark, load, folder)
+    found = snapshots.current(spark, folder)
+    rows_of = lambda name: spark.read.parquet(*found[name])
+    kept = rows_of("waiting").withColumn("waits", F.col("waits").cast("boolean"))
+    assert not {"state", "city", "employment_type", "credit_segment", "principal"} & set(kept.columns)
+    assert kept.where("NOT waits AND (loan_id IS NOT NULL OR paid_date IS NOT NULL)").count() == 0 < kept.where("waits").count()
+    versions = {path.parent.name for path in tmp_path.glob("versions/*/*.parquet")}
+    assert len(versions) == 2 and not list(tmp_path.glob("versions/*/enriched.parquet"))
