@@ -94,3 +94,13 @@ def test_new_rows_do_not_read_old_tables(spark, tmp_path, monkeypatch):
     profiles.append(spark, t, folder)
     assert len(old) == 3 and read and not old & set(read)
     assert set(SCHEMAS) == set(t)
+
+
+def test_loads_of_the_registered_profiles_make_repayments_once(spark, monkeypatch):
+    import __spark_entry__ as registry
+
+    plans = []
+    monkeypatch.setattr(registry.store, "kept", lambda spark, name, made_from, make: make())
+    monkeypatch.setattr(registry.profiles, "append", lambda spark, t, folder: plans.append(t["repayments"]._jdf.queryExecution().optimizedPlan().toString()))
+    registry._profiles(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 3 and not any("Join" in plan for plan in plans)
