@@ -11,8 +11,9 @@ repayments without a loan; the load that brings the loan moves them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ from loanlens.functions.lending import dpd_bucket, is_30_plus, is_approved, mont
 from loanlens.functions.numbers import WIDE, percent, round_half_up
 from loanlens.operators.numbers import bitmaps, dense_numbers, distinct_counts, same
 from loanlens.plans import marts
+from loanlens.session import stored
 from loanlens.sources import snapshots
 from loanlens.sources.store import AT_ONCE
 
@@ -128,6 +130,21 @@ def _waiting(repayments: DataFrame, paths: Sequence[str]) -> DataFrame:
     return repayments.sparkSession.read.schema(kinds).parquet(*paths).where("waits").drop("waits")
 
 
+@contextmanager
+def _unsorted_parts(spark: SparkSession) -> Iterator[None]:
+    """Writes of two partitions keep a file open for each, and so need not sort the rows by partition."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "2")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def append(spark: SparkSession, t: Tables, folder: str) -> None:
     """Add new rows of the lending tables to the states at ``folder``.
 
@@ -147,7 +164,7 @@ def append(spark: SparkSession, t: Tables, folder: str) -> None:
 
     loans_before = spark.read.parquet(*before["loans"]).count() if before else 0
     known = t["known_applications"] if "known_applications" in t else t["loan_applications"]
-    features = marts.loan_features({**t, "loan_applications": known})
+    features = stored(marts.loan_features({**t, "loan_applications": known}), "features")  # joins that numbering would repeat
     numbers = dense_numbers(features, "loan_id", loans_before + 1, near="disbursed_month")
     written(features.join(numbers, "loan_id"), "loans")
     loans = spark.read.parquet(*made["loans"])
@@ -156,10 +173,11 @@ def append(spark: SparkSession, t: Tables, folder: str) -> None:
     repayments = t["repayments"]
     if before:
         repayments = repayments.unionByName(_waiting(repayments, before["waiting"]))
-    enriched = marts.repayment_enriched(repayments, loans).join(loans.select("loan_id", "number"), "loan_id", "left")
-    enriched = _slim(enriched, repayments.columns)
+    numbered_loans = loans.select("loan_id", *[c for c in OF_LOAN if c != "number"]).join(loans.select("loan_id", "number"), "loan_id")
+    enriched = _slim(repayments.join(numbered_loans, "loan_id", "left"), repayments.columns)
     path = f"{folder}/versions/{version}/waiting.parquet"  # rows with a loan lie beside those that wait, and no load reads them
-    enriched.write.partitionBy("waits").parquet(path)
+    with _unsorted_parts(spark):
+        enriched.write.partitionBy("waits").parquet(path)
     made["waiting"] = [path]
     told = _told(spark.read.schema(enriched.schema).parquet(path))
     found, waiting = told.where("NOT waits"), told.where("waits")
@@ -179,8 +197,7 @@ def append(spark: SparkSession, t: Tables, folder: str) -> None:
         rollup = ROLLUPS[name]
         states[f"waiting {name}/sums"] = rollup.state(waiting)
         if rollup.loans:
-            unnumbered = waiting.select("loan_id", *rollup.keys).distinct()
-            numbered = unnumbered.join(dense_numbers(waiting, "loan_id", loans.count() + 1), "loan_id", "left")
+            numbered = waiting.select("loan_id", *rollup.keys).join(dense_numbers(waiting, "loan_id", loans.count() + 1), "loan_id", "left")
             states[f"waiting {name}/loans"] = bitmaps(numbered, rollup.keys)
     with ThreadPoolExecutor(AT_ONCE) as threads:  # states side by side; each still uses the whole cluster
         for done in [threads.submit(written, df, name) for name, df in states.items()]:

@@ -162,3 +162,30 @@ def test_repayments_are_written_once_and_without_what_no_mart_needs(spark, lendi
     assert kept.where("NOT waits AND (loan_id IS NOT NULL OR paid_date IS NOT NULL)").count() == 0 < kept.where("waits").count()
     versions = {path.parent.name for path in tmp_path.glob("versions/*/*.parquet")}
     assert len(versions) == 2 and not list(tmp_path.glob("versions/*/enriched.parquet"))
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    return sum("Exchange hashpartitioning(" in line for line in plan.splitlines())
+
+
+def test_repayments_are_shuffled_once_for_marts_by_loan(spark):
+    t = StarSchema(spark, FOLDER).lending
+    loans = t["disbursements"].select("loan_id", "principal")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(t["repayments"].join(loans, "loan_id", "left")) == 3  # lines, orders, loans; not their join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("repeated", [1, 2])
+def test_repeated_loans_count_in_states_as_often_as_joins_repeat_them(spark, lending, tmp_path, repeated):
+    t = dict(lending, disbursements=lending["disbursements"].withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(repeated)))).drop("again"))
+    states.append(spark, t, str(tmp_path))
+    whole = marts.repayment_enriched(t["repayments"], marts.loan_features(lending))
+    told = whole.groupBy(F.col("disbursed_month").isNotNull().alias("found")).count().collect()
+    counted = spark.read.parquet(*snapshots.current(spark, str(tmp_path))["gold_vintage_analysis/sums"]).agg(F.sum("n")).first()[0]
+    # a loan that occurs twice is joined twice and numbered twice
+    assert counted == sum(r["count"] for r in told if r["found"]) * repeated**2
+    assert rows(states.mart(spark, str(tmp_path), "gold_vintage_analysis")) == rows(marts.gold(t)["gold_vintage_analysis"])
