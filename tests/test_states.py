@@ -189,3 +189,22 @@ def test_repeated_loans_count_in_states_as_often_as_joins_repeat_them(spark, len
     # a loan that occurs twice is joined twice and numbered twice
     assert counted == sum(r["count"] for r in told if r["found"]) * repeated**2
     assert rows(states.mart(spark, str(tmp_path), "gold_vintage_analysis")) == rows(marts.gold(t)["gold_vintage_analysis"])
+
+
+def test_rows_already_dealt_by_loan_are_bucketed_without_a_shuffle(spark, lending, tmp_path):
+    made = buckets.write_bucketed(StarSchema(spark, FOLDER).repayments_by_loan(4), str(tmp_path), "dealt_by_loan", "loan_id", 4, dealt=True)
+    assert rows(made) == rows(lending["repayments"])
+    assert len(list(tmp_path.glob("dealt_by_loan/part-*.parquet"))) == 4
+
+
+def test_marts_that_are_counted_read_repayments_laid_out_by_loan(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    joins = []
+    found = StarSchema.repayments_by_loan
+    monkeypatch.setattr(StarSchema, "repayments_by_loan", lambda self, parts: joins.append(parts) or found(self, parts))
+    entry.store._made.clear()
+    counts = {r["table_name"]: r["row_count"] for r in entry.mart_row_counts(spark, FOLDER).collect()}
+    assert joins == [buckets.BUCKETS]  # the join of lines and orders was made once
+    gold = marts.gold(StarSchema(spark, FOLDER).lending)
+    assert {name: counts[name] for name in gold} == {name: df.count() for name, df in gold.items()}
