@@ -22,6 +22,8 @@ from loanlens.session import shared_folder
 DEDUPLICATED_FROM = 1000
 #: Records at most so far apart in an archive are read in one go, up to so many bytes.
 GAP, READ_AT_ONCE = 1 << 16, 1 << 23
+#: Pages that a writer holds as Python objects; a batch can hold ten thousand.
+PAGES_AT_ONCE = 64
 #: Compressed bytes that a task reads.
 READ_PER_TASK = 1 << 25
 DATE = "1970-01-01T00:00:00Z"
@@ -96,7 +98,7 @@ def _write(folder: str):
         system, path = _file_system(folder)
         name, out, offset = f"{uuid.uuid4().hex}.warc.gz", None, 0
         try:
-            for batch in batches:
+            for batch in (b.slice(at, PAGES_AT_ONCE) for b in batches for at in range(0, b.num_rows, PAGES_AT_ONCE)):
                 rows = []
                 for page_id, url, payload, digest, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     out = out or system.open_output_stream(f"{path}/{name}", compression=None)
@@ -140,7 +142,7 @@ def _read(folder: str, with_payload: bool):
         opened, file = None, None
         for batch in batches:
             places = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            rows, at = [], 0
+            rows, at, held_bytes = [], 0, 0
             while at < len(places):
                 archive, start, length = places[at]
                 end, last = start + length, at + 1
@@ -154,6 +156,10 @@ def _read(folder: str, with_payload: bool):
                 for _, offset, size in places[at:last]:
                     found = parsed(held[offset - start : offset - start + size])
                     rows.append(found if with_payload else found[:5])
+                    held_bytes += len(found[5]) * with_payload
+                    if held_bytes >= READ_AT_ONCE:  # a batch of index rows can name more payloads than a worker can hold
+                        yield _batch(rows, RECORD + ", payload binary" * with_payload)
+                        rows, held_bytes = [], 0
                 at = last
             yield _batch(rows, RECORD + ", payload binary" * with_payload)
         if file:
