@@ -50,17 +50,17 @@ def is_latin(word: str) -> bool:
 
 
 class Learned(dict):
-    """Ids by word; unknown words are learned when asked for, and old ones make room."""
+    """Ids by word; unknown words are learned when asked for, and beyond ``most`` words old ones make room."""
 
-    def __init__(self, learn: Callable):
-        self.learn, self.before = learn, {}
+    def __init__(self, learn: Callable, most: int = REMEMBERED):
+        self.learn, self.most, self.before = learn, most, {}
 
     def __missing__(self, word):
         found = self.before.get(word)
         if found is None:
             found = self.learn(word)
         if len(word) <= LONGEST_REMEMBERED:
-            if 2 * len(self) >= REMEMBERED:
+            if 2 * len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
             self[word] = found
@@ -68,6 +68,8 @@ class Learned(dict):
 
 
 class _Encoder:
+    REMEMBERED = REMEMBERED
+
     def __init__(self, path: str, end: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         kept = kept_by_worker(f"{type(self).__name__} {path}")
@@ -78,7 +80,7 @@ class _Encoder:
             kept["merge"] = kept["tokenizer"].model.tokenize
         self.tokenizer, self.merge = kept["tokenizer"], kept["merge"]
         self.end = end.to_bytes(4, "little")
-        self.known = kept.setdefault("known", Learned(None))
+        self.known = kept.setdefault("known", Learned(None, self.REMEMBERED))
         self.known.learn = self._learn
 
     def _learn(self, word):
@@ -127,6 +129,9 @@ class ByteEncoder(_Encoder):
     """
 
     BARE = " "
+    #: Words stand here with what is behind them, a comma or a line end, so there are more of them. A worker that
+    #: encodes does nothing else that needs memory, unlike in the pipeline.
+    REMEMBERED = 900_000
 
     def _learn(self, word: str) -> bytes | None:
         if word.startswith(self.BARE):

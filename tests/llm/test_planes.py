@@ -99,6 +99,21 @@ def test_any_text_is_encoded_as_a_whole(text):
 _shared: dict = {}
 
 
+def test_many_words_are_learned_once(monkeypatch):
+    encoder = ByteEncoder(PATH)
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder.known, "learn", lambda word: learned.append(word) or learn(word))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(f"{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in letters[:16])
+    first = encoder.ids(text)
+    del learned[:]
+    assert encoder.ids(text) == first
+    assert not learned  # 281,216 words
+    encoder.known.clear()
+    encoder.known.before.clear()
+
+
 def wanted(tokenizer, rows):
     """doc_id to start, number and digest, by encoding one text after the other."""
     at, found = 0, {}
