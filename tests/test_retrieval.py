@@ -1,8 +1,11 @@
 import math
 import re
+import weakref
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +253,52 @@ def test_an_index_writes_no_row_per_term_and_segment(spark, tmp_path):
     most = index.directory.count() * (postings.PARTS + 1)
     assert index.postings.count() <= most and index.frequencies.count() <= most + postings.PARTS
     assert index.vocabulary.count() > 10 * most
+
+
+class Tasks:
+    """Takes the function of ``mapInArrow`` instead of a job."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_a_segment_is_let_go_before_the_next_is_made(monkeypatch):
+    alive, most = weakref.WeakSet(), []
+
+    class Segment(postings.Segment):
+        __hash__ = object.__hash__
+
+        def __init__(self, *fields):
+            super().__init__(*fields)
+            most.append(len(alive))
+            alive.add(self)
+
+    monkeypatch.setattr(postings, "Segment", Segment)
+    monkeypatch.setattr(postings, "SEGMENT_CHUNKS", 2)
+    monkeypatch.setattr(postings, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = pa.record_batch({"source": [str(i) for i in range(8)], "text": ["one two three"] * 8})
+    made = list(postings.segments(Tasks())(iter([texts])))
+    assert [b.column("segment")[0].as_py() for b in made] == [0, 0, 1, 1, 2, 2, 3, 3]
+    assert most == [0, 0, 0, 0]
+
+
+def test_summaries_hold_little_of_a_segment():
+    rng, before, held = np.random.default_rng(4), pa.total_allocated_bytes(), []
+    counts = {1: rng.integers(1, 90, 40_000), 2: rng.integers(1, 9, 5), 3: rng.integers(1, 90, 3_000)}
+    rows = [(s, f"term {s} {i}", int(n)) for s, some in counts.items() for i, n in enumerate(some)]
+
+    def batches():
+        for at in range(0, len(rows), 500):
+            held.append(pa.total_allocated_bytes() - before)
+            segment, term, count = zip(*rows[at : at + 500], strict=True)
+            yield pa.record_batch({"segment": pa.array(segment, pa.int64()), "term": term, "corpus_count": pa.array(count, pa.int64())})
+
+    got = [b.to_pydict() for b in retrieval._summaries(100)(batches())]
+    for found, (segment, some) in zip(got, counts.items(), strict=True):
+        order = np.argsort(-some, kind="stable")
+        assert found["term"] == [*(f"term {segment} {i}" for i in order[:100]), None]
+        assert found["n"] == [*some[order[:100]].tolist(), some[order[100]] if len(order) > 100 else 0]
+    assert max(held) < 200_000  # the first segment has more than a million bytes
