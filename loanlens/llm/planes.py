@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ MAGIC = b"IDPLANES"
 #: Planes of an id, by the kind of plane.
 PLANES = {"byte": 4, "bit": 32}
 LEVEL = 3
-TEXTS_AT_ONCE = 256
+#: Bytes of texts that are encoded together, if there are several: each different word of theirs is looked up once.
+TEXT_BYTES_AT_ONCE = 2 << 20
 ROWS_AT_ONCE = 4096
 
 
@@ -149,6 +151,16 @@ def _document(kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("doc_id", kind), *fields])
 
 
+def portions(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch of ``doc_id, text`` in parts with texts of ``most`` bytes, or a single longer text."""
+    ends, at = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64)), 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _write(folder: str, tokenizer_path: str, schema: T.StructType, kind: str, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -157,20 +169,18 @@ def _write(folder: str, tokenizer_path: str, schema: T.StructType, kind: str, bl
         encode, shard = ByteEncoder(tokenizer_path, END), TaskContext.get().partitionId()
         system, path = file_system(folder)
         name, writer, start = f"{uuid.uuid4().hex}.ids", None, 0
-        for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
+        for batch in (part for b in batches for part in portions(b, TEXT_BYTES_AT_ONCE)):
             writer = writer or ShardWriter(system.open_output_stream(f"{path}/{name}", compression=None), kind, block)
-            starts, lengths = [], []
-            for text in batch.column(1).to_pylist():
-                ids = np.frombuffer(encode.ids(text), "<u4")
-                writer.append(ids)
-                starts.append(start)
-                lengths.append(len(ids))
-                start += len(ids)
+            ids, lengths = encode.ids_of_all(batch.column(1))
+            writer.append(ids)
+            starts = start + np.cumsum(lengths) - lengths
+            start += len(ids)
             n = batch.num_rows
             columns = [batch.column(0), pa.array([shard] * n, pa.int32()), pa.array([name] * n), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
         if writer:
             writer.close()
+        pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
 
     return run
 

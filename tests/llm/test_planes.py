@@ -4,13 +4,14 @@ import io
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_edges import EDGES
 from loanlens.llm import planes
-from loanlens.llm.encoding import ByteEncoder
+from loanlens.llm.encoding import ByteEncoder, Learned
 from loanlens.llm.queries import QUERIES, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -114,6 +115,70 @@ def test_many_words_are_learned_once(monkeypatch):
     encoder.known.before.clear()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.lists(st.sampled_from([*" \n\t\x1c9,.'’!éªµ×ĠÂÃ \xa0中", "<|endoftext|>", "'ll", "word", "Straße", "  ", " a", " a,b", ".\nThe", " an"]), max_size=20).map("".join), max_size=8))
+def test_texts_together_are_encoded_as_each(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = _shared.setdefault("t", Tokenizer.from_file(PATH))
+    encoder = _shared.setdefault("e", ByteEncoder(PATH))
+    wanted = [[*tokenizer.encode(text or "", add_special_tokens=False).ids, 0] for text in texts]
+    for part in (texts, texts[1:]):  # the second time most words are remembered
+        ids, counts = encoder.ids_of_all(pa.array([None, *part], pa.string()).slice(1))
+        assert ids.tolist() == sum(wanted[len(texts) - len(part) :], []) and counts.tolist() == [len(w) for w in wanted[len(texts) - len(part) :]]
+
+
+def test_new_words_are_cut_many_at_a_time_and_looked_up_once(monkeypatch):
+    encoder, merge = ByteEncoder(PATH), []
+    letters = "abcdefghij"
+    words = [f"q{a}{b}{c}z" for a in letters for b in letters for c in letters]
+    texts = pa.array(["the " + " ".join(words)] * 20)
+    whole = np.frombuffer(b"".join(encoder.ids(text) for text in texts.to_pylist()), "<u4")
+    encoder.known.clear()
+    encoder.known.before.clear()
+    cut, found = encoder.merge, encoder.known.all_of
+    asked = []
+    monkeypatch.setattr(encoder, "merge", lambda text: merge.append(text) or cut(text))
+    monkeypatch.setattr(encoder.known, "all_of", lambda words, learn: asked.extend(words) or found(words, learn), raising=False)
+    ids, counts = encoder.ids_of_all(texts)
+    assert np.array_equal(ids, whole) and counts.tolist() == [len(whole) // 20] * 20
+    assert sorted(asked) == sorted(words) and len(merge) < 100
+
+
+def test_old_words_make_room_when_many_come_at_once(monkeypatch):
+    encoder = ByteEncoder(PATH)
+    encoder.known = Learned(encoder._learn, 40)
+    for at in range(0, 100, 10):
+        words = [chr(97 + n // 26) + chr(97 + n % 26) for n in range(at, at + 10)]
+        ids, _ = encoder.ids_of_all(pa.array(["x " + " ".join(words), "x " + " ".join(reversed(words))]))
+        assert ids.tobytes() == b"".join(encoder.ids(t) for t in ("x " + " ".join(words), "x " + " ".join(reversed(words))))
+        assert len(encoder.known) + len(encoder.known.before) <= 40
+
+
+@pytest.mark.parametrize("token", ["o,", "sĊ", "eĠ", ",Ã"])
+def test_tokens_across_parts_of_words_are_noticed(monkeypatch, token):
+    encoder = ByteEncoder(PATH)
+    assert encoder.first is not None and encoder.first[encoder.merge("Ġthe")[0].id] and not encoder.first[encoder.merge("the")[0].id]
+
+    class Other:
+        def get_vocab(self, with_added_tokens):
+            return {"Ġ": 0, "Ġthe": 1, "âĢ¦.": 2, token: 3}
+
+    encoder.tokenizer = Other()
+    assert encoder._first_tokens() is None
+    encoder.first = None
+    encoder.tokenizer = ByteEncoder(PATH).tokenizer
+    assert encoder.ids_of_all(pa.array(["so, what's new"]))[0].tobytes() == encoder.ids("so, what's new")
+
+
+def test_texts_are_taken_by_bytes():
+    texts = ["a" * n if n is not None else None for n in (3, 0, 30, None, 4, 5, 1, 12)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["left out", *texts])], ["doc_id", "text"]).slice(1)
+    parts = [part.column(1).to_pylist() for part in planes.portions(batch, 10)]
+    assert sum(parts, []) == texts and [len(part) for part in parts] == [2, 1, 4, 1]
+    assert not list(planes.portions(batch.slice(0, 0), 10))
+
+
 def wanted(tokenizer, rows):
     """doc_id to start, number and digest, by encoding one text after the other."""
     at, found = 0, {}
