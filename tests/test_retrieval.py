@@ -302,3 +302,61 @@ def test_summaries_hold_little_of_a_segment():
         assert found["term"] == [*(f"term {segment} {i}" for i in order[:100]), None]
         assert found["n"] == [*some[order[:100]].tolist(), some[order[100]] if len(order) > 100 else 0]
     assert max(held) < 200_000  # the first segment has more than a million bytes
+
+
+def brute_weights(texts):
+    chunks = [(s, i + 1, brute_terms(c)) for s, text in texts for i, c in enumerate(brute_chunks(text or ""))]
+    df = Counter(t for *_, c in chunks for t in c)
+    found = Counter()
+    for source, number, c in chunks:
+        raw = {t: n * (math.log((1 + len(chunks)) / (1 + df[t])) + 1) for t, n in c.items()}
+        length = math.sqrt(sum(w * w for w in raw.values()))
+        found.update((source, number, t, round(w / length, 9)) for t, w in raw.items())
+    return found
+
+
+@pytest.mark.parametrize("most", [1 << 14, 2])
+def test_weights_of_odd_texts(spark, monkeypatch, most):
+    """Chunks without a term count as chunks; segments without one are no trouble."""
+    monkeypatch.setattr(postings, "SEGMENT_CHUNKS", most)
+    monkeypatch.setattr(postings, "SLICE", most)
+    again = [("d", "Two words two words"), (None, "one two"), (None, "one two " * 200), ("same", "same " * 300)]
+    texts = [("a", None), ("b", ""), ("c", "x y z"), ("only", "the and of"), ("e", "w" * 100_000 + " übung"), *again, *again]
+    df = spark.createDataFrame(texts, "source string, text string")
+    got = [(*r[:3], round(r[3], 9)) for r in retrieval.weights(df).collect()]
+    assert Counter(got) == brute_weights(texts)
+    assert retrieval.weights(df.limit(0)).count() == retrieval.weights(df.where("source in ('a', 'c')")).count() == 0
+
+
+def invented(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), n)) for n in rng.integers(3, 9, 20_000)]
+    texts = [(str(i), " ".join(words[j] for j in (20_000 * rng.random(600) ** 3).astype(int))) for i in range(400)]
+    return spark.createDataFrame(texts, "source string, text string").repartition(2).persist()
+
+
+def shuffled(plan):
+    """Bytes that the shuffles of a plan that has run have written."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return shuffled(plan.plan())
+    own = plan.metrics().apply("shuffleBytesWritten").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_weights_move_terms_once_and_no_postings(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "spread", lambda documents: documents)
+    documents = invented(spark)
+    chars = documents.agg(F.sum(F.length("text"))).first()[0]
+    found = retrieval.weights(documents).agg(F.count(F.lit(1)))
+    rows = found.collect()[0][0]
+    moved = shuffled(found._jdf.queryExecution().executedPlan())
+    assert 0 < moved < 2.5 * chars and rows > 400_000
+
+
+def test_weights_come_chunk_by_chunk(spark):
+    found = retrieval.weights(invented(spark)).collect()
+    chunk = [(r["source"], r["chunk_no"]) for r in found]
+    assert 1 + sum(a != b for a, b in zip(chunk, chunk[1:])) == len(set(chunk)) == 400 * 7
+    assert sum(a["weight"] < b["weight"] - 1e-4 for a, b in zip(found, found[1:])) < len(set(chunk))
