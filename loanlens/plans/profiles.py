@@ -29,6 +29,7 @@ KEYS = {table: [key] for table, key in quality.PRIMARY_KEYS.items()} | {"repayme
 BITS_PER_KEY = 16
 #: Bits of one bitmap, as Spark's functions lay them out.
 BITMAP = 4096 * 8
+CELLS = "load int, checked string, total long, kind string, name string, found long, low double, high double"
 
 
 def _bound(column: str, kind: str, of) -> Column:
@@ -198,7 +199,7 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
 
     Bounds are of numbers, and of dates as days since 1970; texts have none.
     """
-    cells = spark.read.parquet(*_known(spark, folder)["cells"]).where(F.col("kind") == quality.NULLS)
+    cells = spark.read.schema(CELLS).parquet(*_known(spark, folder)["cells"]).where(F.col("kind") == quality.NULLS)
     return cells.select(
         "load", F.col("checked").alias("table_name"), F.col("name").alias("column_name"), F.col("total").alias("rows"),
         F.col("found").alias("nulls"), "low", "high",

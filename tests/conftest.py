@@ -20,3 +20,10 @@ def spark():
 def rows(spark):
     """A frame from tuples and a declared schema."""
     return lambda data, schema: spark.createDataFrame(data, schema)
+
+
+@pytest.fixture(autouse=True)
+def own_plans(request):
+    """A test that does not ask for the persisted lending tables plans its own from the files, whichever tests ran before."""
+    if "spark" in request.fixturenames and "lending" not in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
